@@ -6,10 +6,12 @@ from tabforge.queries import (  # noqa: E402,F401
     columns,
     encoding,
     joining,
+    modelling,
     profiling,
     rowwise,
     scaling,
     scoring,
+    selecting,
     sources,
     splitting,
 )
