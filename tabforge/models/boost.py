@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tabforge.functions.hashing import hashed_below
 from tabforge.models.base import ColumnEstimator
 from tabforge.models.learner import X, Y, label_number
-from tabforge.operators.profile import classes_of
-from tabforge.runtime import cut_lineage
+from tabforge.operators.profile import class_sizes, classes_of
+from tabforge.runtime import cut_lineage, in_parallel
 
 ROUNDS_PER_CUT = 5
 
@@ -91,7 +91,8 @@ class Boosted(ColumnEstimator):
     def _fit(self, df: DataFrame) -> BoostedModel:
         cols, label = self.cols(), self.label()
         rows = df.where(F.col(label).isNotNull())
-        labels = classes_of(rows, label)
+        sizes = class_sizes(rows, label)
+        labels = list(sizes)
         if len(labels) < 2:
             raise ValueError(f"{label} needs two classes, found {labels}")
         get = self.getOrDefault
@@ -107,10 +108,10 @@ class Boosted(ColumnEstimator):
             data = data.repartition("_key").sortWithinPartitions("_key")
         data = data.persist()
         try:
-            counts = {r[Y]: r["count"] for r in data.groupBy(Y).count().collect()} if self.balanced else {}
+            data.count()
             targets = [1] if len(labels) == 2 else range(len(labels))
-            parts = []
-            for i in targets:
+
+            def fit_class(i):
                 one = data.withColumn("_is", (F.col(Y) == float(i)).cast("double"))
                 gbt = GBTClassifier(featuresCol=X, labelCol="_is", maxIter=get("rounds"), stepSize=get("rate"),
                                     maxDepth=get("maxDepth"), subsamplingRate=get("subsample"), seed=get("seed"))
@@ -118,10 +119,12 @@ class Boosted(ColumnEstimator):
                     gbt = gbt.setValidationIndicatorCol("_held")
                     gbt._set(validationTol=get("tolerance"))
                 if self.balanced:
-                    n, hit = sum(counts.values()), counts[float(i)]
+                    n, hit = sum(sizes.values()), sizes[labels[i]]
                     one = one.withColumn("_w", F.when(F.col("_is") == 1, n / (2 * hit)).otherwise(n / (2 * (n - hit))))
                     gbt = gbt.setWeightCol("_w")
-                parts.append(gbt.fit(one))
+                return gbt.fit(one)
+
+            parts = in_parallel(fit_class, targets)
         finally:
             data.unpersist()
         return BoostedModel(cols, labels, parts)

@@ -25,7 +25,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.operators.profile import classes_of
+from tabforge.operators.profile import class_sizes
 
 X, Y, P = "_x", "_y", "_p"
 HELPERS = (X, P, "rawPrediction", "_probability")
@@ -91,7 +91,8 @@ class Learner(Estimator, HasInputCols, HasLabelCol):
     def _fit(self, df: DataFrame) -> PipelineModel:
         cols, label = self.getOrDefault("inputCols"), self.getOrDefault("labelCol")
         rows = df.where(F.col(label).isNotNull())
-        labels = classes_of(rows, label)
+        sizes = class_sizes(rows, label)
+        labels = list(sizes)
         if len(labels) < 2:
             raise ValueError(f"{label} needs two classes, found {labels}")
         if self.features is None:
@@ -101,18 +102,18 @@ class Learner(Estimator, HasInputCols, HasLabelCol):
         numbered = rows.withColumn(Y, label_number(label, labels))
         keep = [Y] + ([self.keyCol] if self.keyCol else [])
         if self.balanced:
-            n = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
-            share = {k: sum(n.values()) / (len(labels) * n[k]) for k in labels}
-            numbered = numbered.withColumn("_w", F.coalesce(*[F.when(F.col(label) == F.lit(k), F.lit(w)) for k, w in share.items()]))
+            share = {k: sum(sizes.values()) / (len(labels) * n) for k, n in sizes.items()}
+            weight = [F.when(F.col(label) == F.lit(k), F.lit(w)) for k, w in share.items()]
+            numbered = numbered.withColumn("_w", F.coalesce(*weight))
             keep.append("_w")
         data = front.transform(numbered).select(X, *keep)
         if self.keyCol:
             data = data.repartition(self.keyCol).sortWithinPartitions(self.keyCol)
-        base = self._prepared(rows, len(cols), len(labels))
+        base = self._prepared(sum(sizes.values()), len(cols), len(labels))
         model = base.fit(data)
         return PipelineModel([front, model, LabelBack(labels)])
 
-    def _prepared(self, rows: DataFrame, d: int, k: int) -> Estimator:
+    def _prepared(self, n: int, d: int, k: int) -> Estimator:
         base = self.base.copy()
         base._set(featuresCol=X, labelCol=Y, predictionCol=P)
         if base.hasParam("probabilityCol"):
@@ -120,7 +121,7 @@ class Learner(Estimator, HasInputCols, HasLabelCol):
         if self.balanced:
             base._set(weightCol="_w")
         if self.C is not None:
-            reg = 1.0 / (self.C * max(rows.count(), 1))
+            reg = 1.0 / (self.C * n)
             inner = base.getClassifier() if isinstance(base, OneVsRest) else base
             inner._set(regParam=reg)
         if isinstance(base, MultilayerPerceptronClassifier):
@@ -131,13 +132,13 @@ class Learner(Estimator, HasInputCols, HasLabelCol):
 def logistic(cols, label="label", C: float = 1.0, one_vs_rest: bool = False, max_iter: int = 100, **kw) -> Learner:
     """Logistic regression with the total-loss weight C; one multinomial model or one model per class."""
     base = LogisticRegression(maxIter=max_iter, standardization=False, family="auto")
-    return Learner(OneVsRest(classifier=base) if one_vs_rest else base, cols, label, C=C, **kw)
+    return Learner(OneVsRest(classifier=base, parallelism=4) if one_vs_rest else base, cols, label, C=C, **kw)
 
 
 def linear_svm(cols, label="label", C: float = 0.025, max_iter: int = 100, **kw) -> Learner:
     """Linear support vector machine, one per class."""
     base = LinearSVC(maxIter=max_iter, standardization=False)
-    return Learner(OneVsRest(classifier=base), cols, label, C=C, **kw)
+    return Learner(OneVsRest(classifier=base, parallelism=4), cols, label, C=C, **kw)
 
 
 def _tree_params(max_depth, min_leaf, criterion) -> dict:

@@ -282,7 +282,13 @@ def range_scale_by(df: DataFrame, cols: Sequence[str], by: str, max_groups: int
     )
 
 
+def class_sizes(df: DataFrame, col: str, max_classes: int = 1_000) -> dict:
+    """Rows per class, classes ascending; a column with more than ``max_classes`` is not a class column."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    rows = bounded_rows(counts, max_classes, f"classes of {col}")
+    return {r[col]: r["_n"] for r in sorted(rows, key=lambda r: r[col])}
+
+
 def classes_of(df: DataFrame, col: str, max_classes: int = 1_000) -> list:
-    """Sorted class values; a column with more than ``max_classes`` is not a class column."""
-    rows = bounded_rows(distinct_classes(df, col), max_classes, f"classes of {col}")
-    return sorted(r[0] for r in rows)
+    """Sorted class values."""
+    return list(class_sizes(df, col, max_classes))

@@ -69,9 +69,12 @@ def value_bounds(df: DataFrame, cols, buckets: int) -> dict[str, list[float]]:
     return {c: sorted(set(row[c] or [])) for c in cols}
 
 
+def _splits(bounds: list[float]) -> list[float]:
+    return [float("-inf"), *(bounds or [0.0]), float("inf")]
+
+
 def _bucketed(df: DataFrame, col: str, bounds: list[float]) -> DataFrame:
-    splits = [float("-inf"), *(bounds or [0.0]), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="_x", outputCol="_bucket")
+    cut = Bucketizer(splits=_splits(bounds), inputCol="_x", outputCol="_bucket")
     return cut.transform(df.withColumn("_x", F.col(col).cast("double"))).drop("_x")
 
 
@@ -84,13 +87,18 @@ def exact_quantiles(df: DataFrame, cols, probs) -> dict[str, list[float | None]]
     cols = list(cols)
     n = df.count()
     bounds = value_bounds(df, cols, max(8, min(4096, n // ROWS_PER_BUCKET)))
-    cells = df.unpivot([], [F.col(c).cast("double").alias(c) for c in cols], "_col", "_value").dropna()
-    counted = cells.groupBy("_col", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    parts = [_bucketed(counted.where(F.col("_col") == c), "_value", bounds[c]) for c in cols]
-    spread = parts[0]
-    for p in parts[1:]:
-        spread = spread.unionAll(p)
-    spread = spread.persist()
+    numbers = [f"_x{i}" for i in range(len(cols))]
+    places = [f"_b{i}" for i in range(len(cols))]
+    cut = Bucketizer(
+        splitsArray=[_splits(bounds[c]) for c in cols], inputCols=numbers, outputCols=places, handleInvalid="keep"
+    )
+    wide = cut.transform(df.select(*[F.col(c).cast("double").alias(x) for c, x in zip(cols, numbers)]))
+    cells = [
+        F.struct(F.lit(c).alias("_col"), F.col(b).alias("_bucket"), F.col(x).alias("_value"))
+        for c, b, x in zip(cols, places, numbers)
+    ]
+    counted = wide.select(F.inline(F.array(*cells))).where(F.col("_value").isNotNull())
+    spread = counted.groupBy("_col", "_bucket", "_value").agg(F.count(F.lit(1)).alias("_n")).persist()
     try:
         sizes: dict[str, list] = {c: [] for c in cols}
         for r in spread.groupBy("_col", "_bucket").agg(F.sum("_n").alias("n")).collect():

@@ -18,7 +18,7 @@ from tabforge.operators.cols import low_variance_cols
 from tabforge.operators.profile import classes_of
 from tabforge.operators.split import hash_sample, stratified_split
 from tabforge.plans.tune import better, folded, score
-from tabforge.runtime import cut_lineage
+from tabforge.runtime import cut_lineage, in_parallel
 
 
 def vote(preds: Sequence[DataFrame], key: str, pred: str = "prediction", weights: Sequence[float] | None = None) -> DataFrame:
@@ -69,9 +69,14 @@ class _Group(Estimator):
         return that
 
     def _fit_meta(self, wide: DataFrame, names: list[str]) -> Model:
+        """The base outputs are made once and kept, because the meta model passes over them many times."""
         meta = self.meta.copy()
         meta._set(inputCols=names)
-        return meta.fit(wide)
+        rows = wide.select(self.key, self.label, *names).persist()
+        try:
+            return meta.fit(rows)
+        finally:
+            rows.unpersist()
 
 
 class VotingModel(Model):
@@ -95,7 +100,7 @@ class Voting(_Group):
         self.label, self.weights = label, weights
 
     def _fit(self, df: DataFrame) -> VotingModel:
-        return VotingModel([b.fit(df) for b in self.bases], classes_of(df, self.label), self.weights)
+        return VotingModel(in_parallel(lambda b: b.fit(df), self.bases), classes_of(df, self.label), self.weights)
 
 
 class StackedModel(Model):
@@ -126,8 +131,9 @@ class Blend(_Group):
         labels = classes_of(df, self.label)
         parts = stratified_split(df, self.key, self.label, self.frac, self.seed, out="_part").persist()
         try:
+            parts.count()
             first = parts.where(F.col("_part") == "train").drop("_part")
-            models = [b.fit(first) for b in self.bases]
+            models = in_parallel(lambda b: b.fit(first), self.bases)
             wide, names = _apply(models, parts.where(F.col("_part") == "test").drop("_part"), labels, self.use_proba)
             meta = self._fit_meta(wide, names)
         finally:
@@ -140,10 +146,11 @@ def oof_table(bases: Sequence[Estimator], data: DataFrame, label: str, k: int, l
 
     ``data`` holds the fold number in ``_fold``.
     """
+    tasks = [(i, b) for i in range(k) for b in bases]
+    fitted = in_parallel(lambda t: t[1].fit(data.where(F.col("_fold") != t[0])), tasks)
     parts, per_fold, names = [], [], []
     for i in range(k):
-        train = data.where(F.col("_fold") != i)
-        models = [b.fit(train) for b in bases]
+        models = fitted[i * len(bases) : (i + 1) * len(bases)]
         part, names = _apply(models, data.where(F.col("_fold") == i), labels, use_proba)
         parts.append(part)
         per_fold.append(models)
@@ -163,11 +170,12 @@ class Stack(_Group):
         labels = classes_of(df, self.label)
         data = folded(df, self.key, self.label, self.k, self.seed).persist()
         try:
+            data.count()  # filled once, before several fits ask for it at the same time
             wide, names, _ = oof_table(self.bases, data, self.label, self.k, labels, self.use_proba)
             meta = self._fit_meta(wide, names)
         finally:
             data.unpersist()
-        return StackedModel([b.fit(df) for b in self.bases], meta, labels, self.use_proba)
+        return StackedModel(in_parallel(lambda b: b.fit(df), self.bases), meta, labels, self.use_proba)
 
 
 def oof(est: Estimator, train: DataFrame, test: DataFrame, key: str, label: str, k: int, use_proba: bool = False,

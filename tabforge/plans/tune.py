@@ -7,11 +7,9 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param
 from pyspark.sql import DataFrame
@@ -21,6 +19,7 @@ from tabforge.models.learner import label_number
 from tabforge.operators import metrics as V
 from tabforge.operators.metrics import cv_summary
 from tabforge.operators.split import kfold, stratified_kfold
+from tabforge.runtime import in_parallel
 
 # Metrics of which the smaller value is the better one.
 SMALLER_IS_BETTER = {"error", "mae", "log_loss"}
@@ -64,9 +63,8 @@ def cv_scores(
         return i, fold, float(score(model.transform(data.where(F.col("_fold") == fold)), metric, label, labels))
 
     try:
-        tasks = list(product(enumerate(grid), range(k)))
-        with ThreadPoolExecutor(max(1, min(parallelism, len(tasks)))) as pool:
-            rows = list(pool.map(inheritable_thread_target(one), tasks))
+        data.count()  # filled once, before several fits ask for it at the same time
+        rows = in_parallel(one, list(product(enumerate(grid), range(k))), parallelism)
     finally:
         data.unpersist()
     return df.sparkSession.createDataFrame(rows, "candidate int, fold int, score double")
@@ -147,14 +145,15 @@ def sweep(est: Estimator, space: Mapping[Param, Sequence], train: DataFrame, val
           label: str = "label") -> DataFrame:
     """Train and validation score for each value of each parameter, the others at their defaults."""
     train, val = train.persist(), val.persist()
+
+    def one(setting):
+        param, v = setting
+        model = est.copy({param: v}).fit(train)
+        return (param.name, str(v), *[float(score(model.transform(d), metric, label)) for d in (train, val)])
+
     try:
-        rows = []
-        for param, values in space.items():
-            for v in values:
-                model = est.copy({param: v}).fit(train)
-                rows.append(
-                    (param.name, str(v), *[float(score(model.transform(d), metric, label)) for d in (train, val)])
-                )
+        train.count(), val.count()
+        rows = in_parallel(one, [(param, v) for param, values in space.items() for v in values])
     finally:
         train.unpersist()
         val.unpersist()

@@ -21,10 +21,11 @@ TYPE_CODES = [("ECONOMY", 1, "cheap"), ("SMALL", 2, "cheap"), ("LARGE", 3, "dear
 @query(
     "join_left_dim",
     f"""SELECT {LINE_ID} AS line_id, p_type, p_size FROM lineitem
-        LEFT JOIN (SELECT * FROM part WHERE p_size <= 40) p ON l_partkey = p_partkey""",
+        LEFT JOIN part p ON l_partkey = p_partkey + 50""",
 )
 def join_left_dim(t):
-    dim = t.part.where("p_size <= 40").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_size")
+    """The dimension's keys are shifted, so that some rows find no partner."""
+    dim = t.part.select((F.col("p_partkey") + 50).alias("l_partkey"), "p_type", "p_size")
     fact = t.lineitem.select(F.expr(LINE_ID).alias("line_id"), "l_partkey")
     return J.enrich(fact, dim, "l_partkey").drop("l_partkey")
 
@@ -43,15 +44,15 @@ def join_left_salted(t):
 @query(
     "join_left_composite",
     """WITH w AS (
-         SELECT nullif(event_type, 'error') AS event_type, date_trunc('hour', ts) AS hour,
+         SELECT nullif(event_type, 'error') AS event_type, date_trunc('hour', ts) + INTERVAL 1 HOUR AS hour,
                 count(*) AS n_hour, round(avg(value), 6) AS mean_value
-         FROM events GROUP BY ALL HAVING count(*) > 2)
+         FROM events GROUP BY ALL)
        SELECT e.event_id, w.n_hour, w.mean_value FROM events e
        LEFT JOIN w ON nullif(e.event_type, 'error') IS NOT DISTINCT FROM w.event_type
                   AND date_trunc('hour', e.ts) = w.hour""",
 )
 def join_left_composite(t):
-    """Second dimension by two keys, one of which can be missing on both sides."""
+    """Second dimension by two keys: what the hour before looked like. One key can be missing on both sides."""
     e = t.events.select(
         "event_id",
         F.nullif(F.col("event_type"), F.lit("error")).alias("event_type"),
@@ -61,7 +62,7 @@ def join_left_composite(t):
     hourly = e.groupBy("event_type", "hour").agg(
         F.count(F.lit(1)).alias("n_hour"), r6(F.avg("value")).alias("mean_value")
     )
-    dim = hourly.where("n_hour > 2")
+    dim = hourly.withColumn("hour", F.col("hour") + F.expr("INTERVAL 1 HOUR"))
     joined = J.enrich(e, dim, ["event_type", "hour"], null_keys_match=True)
     return joined.select("event_id", "n_hour", "mean_value")
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +44,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def in_parallel(fn: Callable, items: Sequence, threads: int = 4) -> list:
+    """Results of ``fn`` for each item, in order. Each call starts its own Spark jobs; a few run at a time."""
+    items = list(items)
+    spark = SparkSession.getActiveSession()
+    run = inheritable_thread_target(spark)(fn) if spark else fn
+    with ThreadPoolExecutor(max(1, min(threads, len(items)))) as pool:
+        return list(pool.map(run, items))
+
+
 def bounded_rows(df: DataFrame, max_rows: int, what: str) -> list:
     """Rows of a summary table that must be small; more than ``max_rows`` is an error, never a cut."""
     rows = df.limit(max_rows + 1).collect()
