@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tabforge.functions.hashing import hashed_below
 from tabforge.models.base import ColumnEstimator
 from tabforge.models.learner import X, Y, label_number
-from tabforge.operators.profile import class_sizes, classes_of
-from tabforge.runtime import cut_lineage, in_parallel
+from tabforge.operators.profile import class_sizes
+from tabforge.runtime import cut_lineage, in_parallel, spread
 
 ROUNDS_PER_CUT = 5
 
@@ -104,9 +104,7 @@ class Boosted(ColumnEstimator):
             extra.append(F.col(get("keyCol")).alias("_key"))
         front = VectorAssembler(inputCols=cols, outputCol=X)
         data = front.transform(rows.withColumn(Y, label_number(label, labels))).select(X, Y, *extra)
-        if self.isDefined("keyCol"):
-            data = data.repartition("_key").sortWithinPartitions("_key")
-        data = data.persist()
+        data = spread(data, sum(sizes.values()), "_key" if self.isDefined("keyCol") else None).persist()
         try:
             data.count()
             targets = [1] if len(labels) == 2 else range(len(labels))
@@ -151,8 +149,8 @@ class AdaBoostModel(_TreesModel):
 class AdaBoost(ColumnEstimator):
     """Boosting by reweighting (SAMME, Zhu et al. 2009) of decision trees.
 
-    Stops early when a tree makes no error, or is no better than guessing. Weights are a column; the chain of
-    updates is cut by a checkpoint every few rounds.
+    Stops early when a tree makes no error, or is no better than guessing. Weights are a column of the kept
+    rows; the chain of updates is cut by a checkpoint every few rounds.
     """
 
     rounds = Param(Params._dummy(), "rounds", "most trees", TypeConverters.toInt)
@@ -169,14 +167,14 @@ class AdaBoost(ColumnEstimator):
     def _fit(self, df: DataFrame) -> AdaBoostModel:
         cols, label, get = self.cols(), self.label(), self.getOrDefault
         rows = df.where(F.col(label).isNotNull())
-        labels = classes_of(rows, label)
+        sizes = class_sizes(rows, label)
+        labels = list(sizes)
         k = len(labels)
         if k < 2:
             raise ValueError(f"{label} needs two classes, found {labels}")
         front = VectorAssembler(inputCols=cols, outputCol=X)
-        data = cut_lineage(
-            front.transform(rows.withColumn(Y, label_number(label, labels))).select(X, Y, F.lit(1.0).alias("_w"))
-        )
+        start = front.transform(rows.withColumn(Y, label_number(label, labels))).select(X, Y, F.lit(1.0).alias("_w"))
+        data = spread(start, sum(sizes.values())).persist()
         parts, votes = [], []
         for i in range(get("rounds")):
             tree = DecisionTreeClassifier(
@@ -197,7 +195,10 @@ class AdaBoost(ColumnEstimator):
             # weights relative to their mean, so that they neither vanish nor overflow
             scale = 1 / (1 - error + error * math.exp(vote))
             factor = F.when(F.col("_miss"), F.lit(math.exp(vote) * scale)).otherwise(F.lit(scale))
-            data = judged.select(X, Y, (F.col("_w") * factor).alias("_w"))
-            if (i + 1) % ROUNDS_PER_CUT == 0:
-                data = cut_lineage(data)
+            update = judged.select(X, Y, (F.col("_w") * factor).alias("_w"))
+            update = (cut_lineage(update) if (i + 1) % ROUNDS_PER_CUT == 0 else update).persist()
+            update.count()
+            data.unpersist()
+            data = update
+        data.unpersist()
         return AdaBoostModel(cols, labels, parts, votes)

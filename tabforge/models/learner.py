@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.operators.profile import class_sizes
+from tabforge.runtime import SMALL_TABLE_ROWS, spread
 
 X, Y, P = "_x", "_y", "_p"
 HELPERS = (X, P, "rawPrediction", "_probability")
@@ -100,17 +101,24 @@ class Learner(Estimator, HasInputCols, HasLabelCol):
         else:
             front = self.features.fit(rows)
         numbered = rows.withColumn(Y, label_number(label, labels))
-        keep = [Y] + ([self.keyCol] if self.keyCol else [])
+        keep = [Y] + ([self.keyCol] if self.keyCol and self.keyCol not in cols else [])
         if self.balanced:
             share = {k: sum(sizes.values()) / (len(labels) * n) for k, n in sizes.items()}
             weight = [F.when(F.col(label) == F.lit(k), F.lit(w)) for k, w in share.items()]
             numbered = numbered.withColumn("_w", F.coalesce(*weight))
             keep.append("_w")
-        data = front.transform(numbered).select(X, *keep)
-        if self.keyCol:
-            data = data.repartition(self.keyCol).sortWithinPartitions(self.keyCol)
-        base = self._prepared(sum(sizes.values()), len(cols), len(labels))
-        model = base.fit(data)
+        n = sum(sizes.values())
+        data = front.transform(spread(numbered.select(*cols, *keep), n, self.keyCol)).select(X, *keep)
+        base = self._prepared(n, len(cols), len(labels))
+        # tree learners read their input several times; the others soon keep a copy of their own,
+        # and a second one is worth it only for a small table
+        keep_rows = base.hasParam("maxBins") or n <= SMALL_TABLE_ROWS
+        data = data.persist() if keep_rows else data
+        try:
+            model = base.fit(data)
+        finally:
+            if keep_rows:
+                data.unpersist()
         return PipelineModel([front, model, LabelBack(labels)])
 
     def _prepared(self, n: int, d: int, k: int) -> Estimator:

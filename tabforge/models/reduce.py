@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tabforge.models.base import ColumnEstimator, ColumnModel
 from tabforge.models.scale import Standardize
+from tabforge.runtime import spread
 
 
 class PcaModel(ColumnModel):
@@ -112,8 +113,8 @@ def components_for(df: DataFrame, cols: Sequence[str], share: float = 0.85) -> D
 
 def _vectors(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
     """Vector column in a fixed row order, because k-means draws its first centres from the rows."""
-    rows = VectorAssembler(inputCols=list(cols), outputCol="_vec").transform(df)
-    return rows.repartition(key).sortWithinPartitions(key)
+    rows = VectorAssembler(inputCols=list(cols), outputCol="_vec").transform(df.select(key, *cols))
+    return spread(rows, df.count(), key).select("_vec")
 
 
 def cluster(df: DataFrame, cols: Sequence[str], key: str, k: int, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -132,7 +133,7 @@ def cluster(df: DataFrame, cols: Sequence[str], key: str, k: int, seed: int = 0)
 
 def elbow(df: DataFrame, cols: Sequence[str], key: str, ks: Sequence[int], seed: int = 0) -> DataFrame:
     """Sum of squared distances to the nearest centre for each k. The data are read once and kept."""
-    rows = _vectors(df, cols, key).select("_vec").persist()
+    rows = _vectors(df, cols, key).persist()
     try:
         out = []
         for k in ks:
@@ -162,7 +163,7 @@ def polyfit(df: DataFrame, x: str, y: str, degree: int) -> DataFrame:
 
 
 class RbmModel(ColumnModel):
-    """Adds ``rbm``: array of hidden-unit probabilities."""
+    """Adds hidden-unit probabilities: an array ``rbm``, or the vector a learner reads."""
 
     def _transform(self, df: DataFrame) -> DataFrame:
         st, cols = self.fitted(), self.cols()
@@ -174,7 +175,8 @@ class RbmModel(ColumnModel):
             v = np.clip((np.stack(vec.to_numpy()) - lo) / span, 0.0, 1.0)
             return pd.Series(list(1.0 / (1.0 + np.exp(-(v @ w + hidden)))))
 
-        return df.withColumn("rbm", project(F.array(*[F.col(c).cast("double") for c in cols])))
+        units = project(F.array(*[F.col(c).cast("double") for c in cols]))
+        return df.withColumn("_x", array_to_vector(units)) if st["vector"] else df.withColumn("rbm", units)
 
 
 class RbmFeatures(ColumnEstimator):
@@ -190,9 +192,10 @@ class RbmFeatures(ColumnEstimator):
     rate = Param(Params._dummy(), "rate", "step size", TypeConverters.toFloat)
     seed = Param(Params._dummy(), "seed", "seed", TypeConverters.toInt)
 
-    def __init__(self, inputCols=None, units=100, epochs=10, rate=0.1, seed=0):
+    def __init__(self, inputCols=None, units=100, epochs=10, rate=0.1, seed=0, vector=False):
         super().__init__()
         self._set(units=units, epochs=epochs, rate=rate, seed=seed)
+        self.vector = vector
         if inputCols:
             self._set(inputCols=list(inputCols))
 
@@ -218,7 +221,7 @@ class RbmFeatures(ColumnEstimator):
         finally:
             data.unpersist()
         state = {"w": w, "hidden": hidden, "lo": lo, "span": span}
-        return RbmModel.of(self, {name: a.tolist() for name, a in state.items()})
+        return RbmModel.of(self, {"vector": self.vector, **{name: a.tolist() for name, a in state.items()}})
 
 
 def _rbm_epoch(data: DataFrame, w, visible, hidden, lo, span) -> np.ndarray:

@@ -118,25 +118,34 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tru
 def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair of columns as rows (a, b, r).
 
-    Few columns: one aggregate per pair in one pass, each over the rows where both are present. Many
-    columns: MLlib's Gram matrix over the complete rows, which needs one pass as well.
+    Few columns: covariances of all pairs and variances in one pass. They belong to the same rows only if no
+    cell is missing; otherwise each pair is taken over the rows where both are present. Many columns: MLlib's
+    Gram matrix over the complete rows. A constant column has no correlation (null).
     """
     cols = list(cols)
+    spark, schema = df.sparkSession, "a string, b string, r double"
     if len(cols) <= PAIRWISE_LIMIT:
-        pairs = list(combinations(cols, 2))
-        cells = []
-        for a, b in pairs:
-            r = F.corr(a, b)
-            cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")))
-            cells.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), r.alias("r")))
-        for c in cols:
-            one = F.when(F.var_pop(c) > 0, F.lit(1.0))
-            cells.append(F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), one.alias("r")))
-        return df.agg(F.array(*cells).alias("_cells")).select(F.inline("_cells"))
+        pairs = list(combinations(range(len(cols)), 2))
+        one = df.agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+            *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(cols)],
+            *[F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs],
+        ).first()
+        if all(one[f"n{i}"] == one["n"] for i in range(len(cols))):
+            r = {(i, j): one[f"c{i}_{j}"] for i, j in pairs}
+            scale = [math.sqrt(one[f"v{i}"] or 0.0) for i in range(len(cols))]
+            r = {(i, j): x / (scale[i] * scale[j]) if scale[i] and scale[j] else None for (i, j), x in r.items()}
+        else:
+            row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
+            r = {(i, j): row[f"c{i}_{j}"] for i, j in pairs}
+        own = [(c, c, 1.0 if one[f"v{i}"] else None) for i, c in enumerate(cols)]
+        both = [(cols[i], cols[j], x) for (i, j), x in r.items()] + [(cols[j], cols[i], x) for (i, j), x in r.items()]
+        return spark.createDataFrame(own + both, schema)
     vec = VectorAssembler(inputCols=cols, outputCol="_vec", handleInvalid="skip").transform(df)
     m = Correlation.corr(vec, "_vec").first()[0].toArray()
     rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    return spark.createDataFrame(rows, schema)
 
 
 def _position(c: str, cols: Sequence[str]) -> Column:

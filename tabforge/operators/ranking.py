@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.hashing import row_hash
+from tabforge.runtime import in_parallel
 
 ROWS_PER_BUCKET = 100_000
 
@@ -81,65 +82,38 @@ def _bucketed(df: DataFrame, col: str, bounds: list[float]) -> DataFrame:
 def exact_quantiles(df: DataFrame, cols, probs) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation, exact, as plain numbers.
 
-    Equal values are counted first, so a value that fills a third of the table is one row afterwards. The
-    bucket that holds a wanted rank is found from bucket counts, and only such buckets are sorted.
+    Column by column, a few at a time, so each job reads one column. Equal values are counted first: a value
+    that fills a third of the table is one row afterwards. The bucket that holds a wanted rank is found
+    from bucket counts, and only such buckets are sorted.
     """
     cols = list(cols)
-    n = df.count()
-    bounds = value_bounds(df, cols, max(8, min(4096, n // ROWS_PER_BUCKET)))
-    numbers = [f"_x{i}" for i in range(len(cols))]
-    places = [f"_b{i}" for i in range(len(cols))]
-    cut = Bucketizer(
-        splitsArray=[_splits(bounds[c]) for c in cols], inputCols=numbers, outputCols=places, handleInvalid="keep"
-    )
-    wide = cut.transform(df.select(*[F.col(c).cast("double").alias(x) for c, x in zip(cols, numbers)]))
-    cells = [
-        F.struct(F.lit(c).alias("_col"), F.col(b).alias("_bucket"), F.col(x).alias("_value"))
-        for c, b, x in zip(cols, places, numbers)
-    ]
-    counted = wide.select(F.inline(F.array(*cells))).where(F.col("_value").isNotNull())
-    spread = counted.groupBy("_col", "_bucket", "_value").agg(F.count(F.lit(1)).alias("_n")).persist()
+    bounds = value_bounds(df, cols, max(8, min(4096, df.count() // ROWS_PER_BUCKET)))
+    found = in_parallel(lambda c: _column_quantiles(df, c, list(probs), bounds[c]), cols)
+    return dict(zip(cols, found))
+
+
+def _column_quantiles(df: DataFrame, col: str, probs: list[float], bounds: list[float]) -> list[float | None]:
+    values = df.select(F.col(col).cast("double").alias("_value")).where(F.col("_value").isNotNull())
+    counted = values.groupBy("_value").agg(F.count(F.lit(1)).alias("_n"))
+    spread = _bucketed(counted, "_value", bounds).persist()
     try:
-        sizes: dict[str, list] = {c: [] for c in cols}
-        for r in spread.groupBy("_col", "_bucket").agg(F.sum("_n").alias("n")).collect():
-            sizes[r["_col"]].append((r["_bucket"], r["n"]))
-        wanted = []  # (column, bucket, rank inside the bucket, rank)
-        ranks = {}
-        for c in cols:
-            total = sum(k for _, k in sizes[c])
-            for p in probs:
-                if total == 0:
-                    continue
-                exact = p * (total - 1)
-                ranks[c, p] = (math.floor(exact), math.ceil(exact), exact - math.floor(exact))
-                for rank in ranks[c, p][:2]:
-                    left = rank
-                    for b, k in sorted(sizes[c]):
-                        if left < k:
-                            wanted.append((c, float(b), left, rank))
-                            break
-                        left -= k
-        if not wanted:
-            return {c: [None for _ in probs] for c in cols}
-        spark = df.sparkSession
-        want = spark.createDataFrame(sorted(set(wanted)), "_col string, _bucket double, _left long, _rank long")
-        hit = spread.join(F.broadcast(want.select("_col", "_bucket").distinct()), ["_col", "_bucket"], "left_semi")
-        upto = Window.partitionBy("_col", "_bucket").orderBy("_value")
-        run = hit.withColumn("_end", F.sum("_n").over(upto))
-        found = run.join(F.broadcast(want), ["_col", "_bucket"]).where(
-            (F.col("_left") < F.col("_end")) & (F.col("_left") >= F.col("_end") - F.col("_n"))
-        )
-        value = {(r["_col"], r["_rank"]): r["_value"] for r in found.select("_col", "_rank", "_value").collect()}
+        sizes = sorted(spread.groupBy("_bucket").agg(F.sum("_n").alias("n")).collect())
+        total = sum(r["n"] for r in sizes)
+        if total == 0:
+            return [None for _ in probs]
+        ends = [(math.floor(p * (total - 1)), math.ceil(p * (total - 1))) for p in probs]
+        before, starts = 0, []
+        for r in sizes:
+            starts.append((r["_bucket"], before, before + r["n"]))
+            before += r["n"]
+        ranks = sorted({rank for pair in ends for rank in pair})
+        needed = {b: start for b, start, end in starts for rank in ranks if start <= rank < end}
+        start = F.coalesce(*[F.when(F.col("_bucket") == b, F.lit(s)) for b, s in needed.items()])
+        run = F.sum("_n").over(Window.partitionBy("_bucket").orderBy("_value"))
+        placed = spread.where(F.col("_bucket").isin(list(needed))).select("_value", "_n", (start + run).alias("_end"))
+        hits = F.filter(F.array(*[F.lit(r) for r in ranks]), lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_n")))
+        rows = placed.select("_value", F.explode(hits).alias("rank")).collect()
     finally:
         spread.unpersist()
-    out = {}
-    for c in cols:
-        out[c] = []
-        for p in probs:
-            if (c, p) not in ranks:
-                out[c].append(None)
-                continue
-            lo, hi, part = ranks[c, p]
-            a, b = value[c, lo], value[c, hi]
-            out[c].append(a + (b - a) * part)
-    return out
+    at = {r["rank"]: r["_value"] for r in rows}
+    return [at[lo] + (at[hi] - at[lo]) * (p * (total - 1) - lo) for p, (lo, hi) in zip(probs, ends)]

@@ -50,7 +50,7 @@ def r6(c):
 # Unique text key of a line item; order and line number alone repeat.
 LINE_ID = (
     "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
-    "CAST(round(l_extendedprice * 100) AS BIGINT))"
+    "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT))"
 )
 
 # Class to predict: band of the net price.

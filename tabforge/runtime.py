@@ -53,6 +53,22 @@ def in_parallel(fn: Callable, items: Sequence, threads: int = 4) -> list:
         return list(pool.map(run, items))
 
 
+SMALL_TABLE_ROWS = 5_000_000
+
+
+def spread(df: DataFrame, rows: int, key: str | None = None) -> DataFrame:
+    """Lay out training rows for an algorithm that passes over them many times.
+
+    A small table in few files would use few cores, so it is dealt out to all of them. A large one stays as it
+    was read. With a key, rows always lie in the same place and order, whatever the files looked like.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = min(cores, -(-rows // 5_000)) if rows <= SMALL_TABLE_ROWS else max(3 * cores, rows // SMALL_TABLE_ROWS)
+    if key:
+        return df.repartition(max(1, parts), key).sortWithinPartitions(key)
+    return df.repartition(parts) if 1 < parts and rows <= SMALL_TABLE_ROWS else df
+
+
 def bounded_rows(df: DataFrame, max_rows: int, what: str) -> list:
     """Rows of a summary table that must be small; more than ``max_rows`` is an error, never a cut."""
     rows = df.limit(max_rows + 1).collect()

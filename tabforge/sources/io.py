@@ -41,6 +41,16 @@ def read_csv(
     return reader.schema(st).csv(path)
 
 
+def read_csv_named(spark: SparkSession, path, types: dict[str, str], **options) -> DataFrame:
+    """Scan CSV files with types for some columns, found by their header; the others are text."""
+    names = spark.read.csv(path, header=True).columns
+    missing = [c for c in types if c not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {missing}")
+    schema = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in names)
+    return read_csv(spark, path, schema, **options)
+
+
 def infer_csv_schema(spark: SparkSession, path, sampling: float = 1.0) -> T.StructType:
     """Schema of CSV files, found by reading a share of the rows. Fix it in code afterwards."""
     return spark.read.csv(path, header=True, inferSchema=True, samplingRatio=sampling).schema
