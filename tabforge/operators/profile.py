@@ -137,7 +137,7 @@ def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             scale = [math.sqrt(one[f"v{i}"] or 0.0) for i in range(len(cols))]
             r = {(i, j): x / (scale[i] * scale[j]) if scale[i] and scale[j] else None for (i, j), x in r.items()}
         else:
-            row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
+            row = df.agg(*[_complete_corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
             r = {(i, j): row[f"c{i}_{j}"] for i, j in pairs}
         own = [(c, c, 1.0 if one[f"v{i}"] else None) for i, c in enumerate(cols)]
         both = [(cols[i], cols[j], x) for (i, j), x in r.items()] + [(cols[j], cols[i], x) for (i, j), x in r.items()]
@@ -148,6 +148,13 @@ def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def _complete_corr(a: str, b: str) -> Column:
+    """Correlation over the rows where both are present; null (no error) where one does not vary."""
+    sa = F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a)))
+    sb = F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b)))
+    return F.try_divide(F.covar_pop(a, b), sa * sb)
+
+
 def _position(c: str, cols: Sequence[str]) -> Column:
     return F.array_position(F.array(*[F.lit(x) for x in cols]), F.col(c))
 
