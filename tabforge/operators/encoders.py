@@ -50,10 +50,14 @@ def onehot_counts(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> Dat
 
 
 def vocabulary(df: DataFrame, phrases: str) -> DataFrame:
-    """Distinct phrases of an array column."""
-    return df.select(F.explode(phrases).alias("phrase")).distinct()
+    """Distinct phrases of an array column.
+
+    The outer form of explode keeps Spark from making the array a second time for a filter on its size.
+    """
+    return df.select(F.explode_outer(phrases).alias("phrase")).where(F.col("phrase").isNotNull()).distinct()
 
 
 def phrase_pairs(df: DataFrame, key: str, phrases: str) -> DataFrame:
     """Long form of the phrase matrix: one row per key and phrase that occurs. Fits any vocabulary."""
-    return df.select(key, F.explode(F.array_distinct(phrases)).alias("phrase"))
+    pairs = df.select(key, F.explode_outer(F.array_distinct(phrases)).alias("phrase"))
+    return pairs.where(F.col("phrase").isNotNull())

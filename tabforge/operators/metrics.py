@@ -69,17 +69,19 @@ def class_report(df: DataFrame, label: str = "label", pred: str = "prediction")
         ratio(2 * F.col("hits"), F.col("predicted") + F.col("support")).alias("f1"),
         "support",
     )
-    names = ("precision", "recall", "f1")
-    plain = per.agg(*[F.avg(c).alias(c) for c in names], F.sum("support").alias("support"))
-    weighted = per.agg(
-        *[ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(c) for c in names],
-        F.sum("support").alias("support"),
+    # each class also counts towards both averages: once with weight 1, once with its support
+    one = F.lit(1.0)
+    rows = F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("cls").alias("name"), one.alias("w")),
+        F.struct(F.lit(1).alias("kind"), F.lit("macro avg").alias("name"), one.alias("w")),
+        F.struct(F.lit(2).alias("kind"), F.lit("weighted avg").alias("name"), F.col("support").cast("double").alias("w")),
     )
-    order = ["cls", *names, "support"]
+    names = ("precision", "recall", "f1")
+    spread = per.select(*names, "support", F.inline(rows))
     return (
-        per.select(*order)
-        .unionAll(plain.withColumn("cls", F.lit("macro avg")).select(*order))
-        .unionAll(weighted.withColumn("cls", F.lit("weighted avg")).select(*order))
+        spread.groupBy("kind", F.col("name").alias("cls"))
+        .agg(*[ratio(F.sum(F.col(c) * F.col("w")), F.sum("w")).alias(c) for c in names], F.sum("support").alias("support"))
+        .drop("kind")
     )
 
 
