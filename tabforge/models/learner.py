@@ -110,9 +110,9 @@ class Learner(Estimator, HasInputCols, HasLabelCol):
         n = sum(sizes.values())
         data = front.transform(spread(numbered.select(*cols, *keep), n, self.keyCol)).select(X, *keep)
         base = self._prepared(n, len(cols), len(labels))
-        # tree learners read their input several times; the others soon keep a copy of their own,
-        # and a second one is worth it only for a small table
-        keep_rows = base.hasParam("maxBins") or n <= SMALL_TABLE_ROWS
+        # MLlib soon keeps a copy of its own; a second one pays for a small table, or for tree learners
+        # (which read their input several times before) behind a costly feature stage
+        keep_rows = n <= SMALL_TABLE_ROWS or (base.hasParam("maxBins") and self.features is not None)
         data = data.persist() if keep_rows else data
         try:
             model = base.fit(data)

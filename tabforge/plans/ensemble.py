@@ -185,8 +185,12 @@ def oof(est: Estimator, train: DataFrame, test: DataFrame, key: str, label: str,
     Outputs are class numbers (their mean for the test rows), or one probability per class.
     """
     labels = classes_of(train, label)
-    data = folded(train, key, label, k, seed)
-    wide, names, per_fold = oof_table([est], data, label, k, labels, use_proba)
+    data = folded(train, key, label, k, seed).persist()
+    try:
+        data.count()  # filled once, before several fits ask for it at the same time
+        wide, names, per_fold = oof_table([est], data, label, k, labels, use_proba)
+    finally:
+        data.unpersist()
     models = [m[0] for m in per_fold]
     tested, many = _apply(models, test, labels, use_proba)
     if use_proba:
@@ -213,15 +217,41 @@ def per_group_fit(make: Callable[[list[str]], Estimator], df: DataFrame, group:
 
     The groups are few (checked); every fit and every ``transform`` runs on a filter of the table.
     """
-    models = {}
-    for g in classes_of(df, group, max_groups):
+    groups = classes_of(df, group, max_groups)
+
+    def fit(g):
         rows = df.where(F.col(group) == F.lit(g))
-        dull = set(low_variance_cols(rows, cols, min_variance)) if min_variance is not None else set()
-        kept = [c for c in cols if c not in dull]
-        if not kept:
-            raise ValueError(f"no column varies in group {g}")
-        models[g] = make(kept).fit(rows)
-    return PerGroupModel(group, models)
+        return make(_varying(rows, cols, min_variance)).fit(rows)
+
+    return PerGroupModel(group, dict(zip(groups, in_parallel(fit, groups))))
+
+
+def _varying(rows: DataFrame, cols: Sequence[str], min_variance: float | None) -> list[str]:
+    dull = set(low_variance_cols(rows, cols, min_variance)) if min_variance is not None else set()
+    kept = [c for c in cols if c not in dull]
+    if not kept:
+        raise ValueError("no column varies in the group")
+    return kept
+
+
+def per_group_oof(make: Callable[[list[str]], Estimator], train: DataFrame, test: DataFrame, group: str, key: str, label: str,
+                  cols: Sequence[str], k: int, min_variance: float | None = None, seed: int = 0,
+                  max_groups: int = 100) -> tuple[DataFrame, DataFrame]:
+    """Per group: out-of-fold probabilities of the train rows, mean of the k models' for the test rows.
+
+    Columns ``p_<label>`` for every label of the table; a class that a group does not have gets 0 there.
+    """
+    labels = classes_of(train, label)
+    inner, outer = [], []
+    for g in classes_of(train, group, max_groups):
+        rows, asked = (d.where(F.col(group) == F.lit(g)) for d in (train, test))
+        own = classes_of(rows, label)
+        est = make(_varying(rows, cols, min_variance))
+        seen, new = oof(est, rows, asked, key, label, k, use_proba=True, seed=seed)
+        probs = [F.col(f"_b0_{own.index(x)}").alias(f"p_{x}") if x in own else F.lit(0.0).alias(f"p_{x}") for x in labels]
+        inner.append(seen.select(key, label, *probs))
+        outer.append(new.select(key, *probs))
+    return reduce(DataFrame.unionByName, inner), reduce(DataFrame.unionByName, outer)
 
 
 def pseudo_union(train: DataFrame, labelled: DataFrame, key: str, frac: float, seed: int = 0, label: str = "label") -> DataFrame:

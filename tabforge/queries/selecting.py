@@ -206,13 +206,51 @@ def _flagged(t):
     return flag.withColumn("label", F.when(net < 30000, 0).when(net < 65000, 1).otherwise(2))
 
 
-@query("per_group_qda")
+@query(
+    "per_group_qda",
+    f"""WITH {TRAIN_TEST_SQL}, {_FLAGGED},
+      m AS (SELECT l_returnflag, label AS cls, count(*) AS n, avg(l_quantity) AS mx, avg(l_extendedprice) AS my,
+              var_samp(l_quantity) AS a, covar_samp(l_quantity, l_extendedprice) AS b, var_samp(l_extendedprice) AS c
+            FROM train JOIN flagged USING (line_id) GROUP BY ALL),
+      k AS (SELECT *, sum(n) OVER (PARTITION BY l_returnflag) AS n_all FROM m),
+      s AS (SELECT line_id, l_returnflag, label, cls,
+              ln(n / n_all) - 0.5 * ln(a * c - b * b) - 0.5 * (c * pow(l_quantity - mx, 2)
+                - 2 * b * (l_quantity - mx) * (l_extendedprice - my) + a * pow(l_extendedprice - my, 2))
+                / (a * c - b * b) AS s
+            FROM test JOIN flagged USING (line_id) JOIN k USING (l_returnflag))
+      SELECT line_id, l_returnflag, label, cls AS prediction FROM s
+      QUALIFY row_number() OVER (PARTITION BY line_id ORDER BY s DESC, cls) = 1""",
+)
 def per_group_qda(t):
     train, test = train_test(_flagged(t), "line_id", TEST_SHARE, SEED)
     model = ensemble.per_group_fit(Qda, train, "l_returnflag", LINE_FEATURES, min_variance=1.5)
     return model.transform(test).select("line_id", "l_returnflag", "label", "prediction")
 
 
+@query(
+    "per_group_oof",
+    f"""WITH {TRAIN_TEST_SQL}, {_FLAGGED},
+        tr0 AS (SELECT * FROM train JOIN flagged USING (line_id)), te0 AS (SELECT * FROM test JOIN flagged USING (line_id)),
+        folds AS (SELECT *, (row_number() OVER (PARTITION BY l_returnflag, label
+                    ORDER BY md5(concat_ws(':', line_id, '9'))) - 1) % 3 AS fold FROM tr0),
+        g AS (SELECT unnest([0, 1, 2]) AS held),
+        tr AS (SELECT * FROM folds, g WHERE fold <> held), te AS (SELECT * FROM te0, g),
+        {nb_sql('tr', 'te', TWO, ['l_returnflag', 'held'])},
+        p AS (SELECT line_id, held, cls, exp(s - max(s) OVER w) / sum(exp(s - mx)) OVER w AS p
+              FROM (SELECT *, max(s) OVER (PARTITION BY line_id, held) AS mx FROM scored)
+              WINDOW w AS (PARTITION BY line_id, held))
+        SELECT line_id, {', '.join(f"round(sum(p) FILTER (cls = {c}) / 3, 6) AS p_{c}" for c in (0, 1, 2))}
+        FROM p GROUP BY line_id""",
+)
+def per_group_oof(t):
+    """Per return flag: mean class probabilities of three models, each fitted without one fold."""
+    train, test = train_test(_flagged(t), "line_id", TEST_SHARE, SEED)
+    _, mean = ensemble.per_group_oof(
+        GaussianNB, train, test, "l_returnflag", "line_id", "label", LINE_FEATURES, 3, min_variance=1.5, seed=9
+    )
+    return mean.select("line_id", *[r6(f"p_{c}").alias(f"p_{c}") for c in (0, 1, 2)])
+
+
 @query("pseudo_label")
 def pseudo_label(t):
     train, rest = train_test(lines(t), "line_id", 0.6, SEED)
