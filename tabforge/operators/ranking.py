@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.hashing import row_hash
-from tabforge.runtime import in_parallel
+from tabforge.runtime import broadcast_if_small, in_parallel
 
 ROWS_PER_BUCKET = 100_000
 
@@ -35,7 +35,7 @@ def _from_buckets(df: DataFrame, by: list[str], order: list, out: str, size: str
         F.sum("_n").over(w).alias("_size"),
     )
     place = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*order))
-    res = df.join(starts, [*by, "_bucket"]).withColumn(out, F.col("_start") + place - 1)
+    res = df.join(broadcast_if_small(starts), [*by, "_bucket"]).withColumn(out, F.col("_start") + place - 1)
     if size:
         res = res.withColumn(size, F.col("_size"))
     return res.drop("_bucket", "_start", "_size", "_h")

@@ -158,17 +158,20 @@ def oof_table(bases: Sequence[Estimator], data: DataFrame, label: str, k: int, l
 
 
 class Stack(_Group):
-    """The meta model learns from out-of-fold outputs of the bases; the bases are then fitted on all rows."""
+    """The meta model learns from out-of-fold outputs of the bases; the bases are then fitted on all rows.
+
+    ``stratified=False`` takes folds straight from the key hash, which moves no row.
+    """
 
     def __init__(self, bases, meta: Estimator, key: str, label: str = "label", k: int = 5, use_proba: bool = True,
-                 seed: int = 0):
+                 seed: int = 0, stratified: bool = True):
         super().__init__(bases, meta)
         self.key, self.label = key, label
-        self.k, self.use_proba, self.seed = k, use_proba, seed
+        self.k, self.use_proba, self.seed, self.stratified = k, use_proba, seed, stratified
 
     def _fit(self, df: DataFrame) -> StackedModel:
         labels = classes_of(df, self.label)
-        data = folded(df, self.key, self.label, self.k, self.seed).persist()
+        data = folded(df, self.key, self.label, self.k, self.seed, self.stratified).persist()
         try:
             data.count()  # filled once, before several fits ask for it at the same time
             wide, names, _ = oof_table(self.bases, data, self.label, self.k, labels, self.use_proba)
@@ -179,13 +182,14 @@ class Stack(_Group):
 
 
 def oof(est: Estimator, train: DataFrame, test: DataFrame, key: str, label: str, k: int, use_proba: bool = False,
-        seed: int = 0) -> tuple[DataFrame, DataFrame]:
+        seed: int = 0, stratified: bool = True) -> tuple[DataFrame, DataFrame]:
     """Out-of-fold outputs for the train rows, and the mean of the k models' outputs for the test rows.
 
     Outputs are class numbers (their mean for the test rows), or one probability per class.
+    ``stratified=False`` takes folds straight from the key hash, which moves no row.
     """
     labels = classes_of(train, label)
-    data = folded(train, key, label, k, seed).persist()
+    data = folded(train, key, label, k, seed, stratified).persist()
     try:
         data.count()  # filled once, before several fits ask for it at the same time
         wide, names, per_fold = oof_table([est], data, label, k, labels, use_proba)
