@@ -123,6 +123,8 @@ class Learner(Estimator, HasInputCols, HasLabelCol):
 
     def _prepared(self, n: int, d: int, k: int) -> Estimator:
         base = self.base.copy()
+        if isinstance(base, OneVsRest) and k == 2:
+            base = base.getClassifier()  # two classes need one model, not two mirrored ones
         base._set(featuresCol=X, labelCol=Y, predictionCol=P)
         if base.hasParam("probabilityCol"):
             base._set(probabilityCol="_probability")

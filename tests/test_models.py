@@ -28,7 +28,7 @@ MAKERS = {
     "qda": lambda c: Qda(c),
     "logistic": lambda c: L.logistic(c, C=100.0),
     "logistic per class": lambda c: L.logistic(c, C=5.0, one_vs_rest=True),
-    "linear svm": lambda c: L.linear_svm(c),
+    "linear svm": lambda c: L.linear_svm(c, max_iter=15),
     "rbf svm": lambda c: rbf_svm(c, gamma=0.05, size=64, max_iter=20),
     "rbf svm probability": lambda c: rbf_svm(c, C=100.0, gamma=0.05, size=64, probability=True, max_iter=20),
     "tree": lambda c: L.decision_tree(c),

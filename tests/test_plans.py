@@ -70,7 +70,7 @@ def test_votes(spark):
 
 @pytest.mark.parametrize("proba", [False, True])
 def test_blend_and_stack(two_blobs, proba):
-    bases = [GaussianNB(AB), L.decision_tree(AB), L.linear_svm(AB)]
+    bases = [GaussianNB(AB), L.decision_tree(AB), L.linear_svm(AB, max_iter=10)]
     for est in (
         ensemble.Blend(bases, L.logistic([], C=100.0), "key", use_proba=proba),
         ensemble.Stack(bases, L.logistic([], C=100.0), "key", k=2, use_proba=proba),
