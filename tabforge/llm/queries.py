@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabforge.llm import exactdedup, mixing, tokencount, urlfilter
+from tabforge.llm import exactdedup, langid, mixing, simhash, tokencount, urlfilter
 from tabforge.llm.registry import QUERIES, SQL, query, table
 from tabforge.llm.words import one_space
 
@@ -98,3 +98,20 @@ def op7_exact_dedup(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
     digests = documents.withColumn("text_sha256", F.sha2(one_space("text"), 256))
     return exactdedup.mark_duplicates(digests, carry=["text_sha256"])
+
+
+@query("op1_simhash_near_dedup")
+def op1_simhash_near_dedup(spark, folder):
+    """Fingerprints of 4-word shingles and the component of those that differ in 4 bits at most."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(documents, shingle=4, distance=4)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query("op2_language_id")
+def op2_language_id(spark, folder):
+    """The language of every document, learned from those that are not held out."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    documents = documents.withColumn("held_out", langid.held_out("doc_id"))
+    model = langid.fit(documents.where("NOT held_out"))
+    return langid.predict(documents.drop("lang"), model)
