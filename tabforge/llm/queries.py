@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabforge.llm import exactdedup, langid, mixing, simhash, tokencount, urlfilter
+from tabforge.llm import bitslice, exactdedup, langid, mixing, packing, simhash, tokencount, urlfilter
 from tabforge.llm.registry import QUERIES, SQL, query, table
 from tabforge.llm.words import one_space
 
@@ -115,3 +115,31 @@ def op2_language_id(spark, folder):
     documents = documents.withColumn("held_out", langid.held_out("doc_id"))
     model = langid.fit(documents.where("NOT held_out"))
     return langid.predict(documents.drop("lang"), model)
+
+
+TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x::DOUBLE[], c.x::DOUBLE[]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.x) = len(q.x)),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+
+@query("op5_top_k", TOP_SQL)
+def op5_top_k(spark, folder):
+    """The 20 best rows by integer inner product for every twentieth vector."""
+    embeddings = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return bitslice.top_k(embeddings, F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op9_pack_sequences")
+def op9_pack_sequences(spark, folder):
+    """The pieces of all documents and their places in sequences of 2048 tokens."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    vocabulary, ranks = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
+    return packing.pack(documents, vocabulary, ranks, capacity=2048)
