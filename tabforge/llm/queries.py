@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabforge.llm import bitslice, exactdedup, langid, mixing, packing, simhash, tokencount, urlfilter
+from tabforge.llm import bitslice, exactdedup, langid, mixing, packing, perplexity, simhash, tokencount, urlfilter
 from tabforge.llm.registry import QUERIES, SQL, query, table
 from tabforge.llm.words import one_space
 
@@ -143,3 +143,10 @@ def op9_pack_sequences(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
     vocabulary, ranks = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
     return packing.pack(documents, vocabulary, ranks, capacity=2048)
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark, folder):
+    """Perplexity of every document, its language's threshold, and whether it is kept."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return perplexity.judge(documents, table(spark, folder, "labels").select("doc_id", "quality", "toxic"))

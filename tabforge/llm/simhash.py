@@ -197,3 +197,13 @@ def near_duplicates(
     named = rows.join(members, F.col("_fp") == F.col("fp"))
     columns = [f"`{c}`" for c in rows.columns if c != "_fp"]
     return named.select(*columns, F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` that stay: of each component the row with the smallest key.
+
+    Rows are told by their keys: those that repeat a key stay or go together, and those without a key stay.
+    """
+    found = near_duplicates(df.select(key, text), key, text, **options)
+    gone = found.where(F.col("component_id") < F.col(key)).select(F.col(key).alias("_gone")).distinct()
+    return df.join(gone, F.col(key) == F.col("_gone"), "left_anti")
