@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabforge.llm import bitslice, exactdedup, langid, mixing, packing, perplexity, simhash, tokencount, urlfilter
+from tabforge.llm import bitslice, exactdedup, langid, mixing, packing, perplexity, runindex, simhash, tokencount, urlfilter
 from tabforge.llm.registry import QUERIES, SQL, query, table
 from tabforge.llm.words import one_space
 
@@ -150,3 +150,9 @@ def op8_quality_classifier(spark, folder):
     """Perplexity of every document, its language's threshold, and whether it is kept."""
     documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
     return perplexity.judge(documents, table(spark, folder, "labels").select("doc_id", "quality", "toxic"))
+
+
+@query("op10_repeated_passages")
+def op10_repeated_passages(spark, folder):
+    """What is left of every document without the bytes of 50-byte strings that an earlier one has."""
+    return runindex.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
