@@ -83,8 +83,8 @@ def drop_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     Rows whose length and prefix occur once stay where they are. The others are reduced to one row per full hash, in
     each task before the shuffle, so no group is ever gathered.
     """
-    columns = [f"`{c}`" for c in df.columns]
-    hashed = _hashed(df.withColumn("_key", F.col(key)), text)
-    order = F.struct(F.col("_key").isNull(), F.col("_key"), F.xxhash64(*columns))
-    kept = hashed.where("_full IS NOT NULL").groupBy("_full").agg(F.min_by(F.struct(*columns), order).alias("_kept"))
-    return hashed.where("_full IS NULL").select(*columns).unionByName(kept.select("_kept.*"))
+    rows = F.struct(*[f"`{c}`" for c in df.columns]).alias("_all")
+    hashed = _hashed(df.select(rows, F.col(key).alias("_key"), F.col(text).alias("_text")), "_text")
+    order = F.struct(F.col("_key").isNull(), F.col("_key"), F.xxhash64("_all"))
+    kept = hashed.where("_full IS NOT NULL").groupBy("_full").agg(F.min_by("_all", order).alias("_all"))
+    return hashed.where("_full IS NULL").select("_all.*").unionByName(kept.select("_all.*"))

@@ -53,11 +53,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], max_repeat: float)
     )
 
 
-def _with_copies(sized: DataFrame, sums: DataFrame, key, source, weights, max_repeat, seed) -> DataFrame:
+def _with_copies(rows: DataFrame, sums: DataFrame, key, source, weights, max_repeat, seed) -> DataFrame:
     targets = source_targets(sums, weights, max_repeat).withColumnRenamed("source", "_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     drawn = F.floor("rate") + F.when(uniform(key, seed) < F.col("rate") - F.floor("rate"), 1).otherwise(0)
-    joined = sized.join(broadcast_if_small(targets), F.col(source).eqNullSafe(F.col("_source")), "left").drop("_source")
+    joined = rows.join(broadcast_if_small(targets), F.col(source).eqNullSafe(F.col("_source")), "left").drop("_source")
     return joined.withColumn("rate", rate).withColumn("copies", F.least(drawn, F.lit(max_repeat)).cast("int"))
 
 
@@ -102,6 +102,7 @@ def mix(
     """
     columns = [f"`{c}`" for c in df.columns]
     sums = _sums(df.select(F.col(source), word_count(text).alias("size")), source)
-    drawn = _with_copies(df.withColumn("_row", F.struct(*columns)), sums, key, source, weights, max_repeat, seed)
+    rows = df.select(F.struct(*columns).alias("_row"), F.col(key).alias("_key"), F.col(source).alias("_from"))
+    drawn = _with_copies(rows, sums, "_key", "_from", weights, max_repeat, seed)
     rows = drawn.where("copies > 0").select("_row", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("_copy"))
     return rows.select("_row.*", F.col("_copy").alias(copy)) if copy else rows.select("_row.*")

@@ -241,11 +241,7 @@ def thresholds(scored: DataFrame, labels: DataFrame, quantile: float, key: str,
     own = rows.groupBy(F.col(lang).alias("_lang")).agg(cut).withColumn("_all", F.lit(False))
     both = own.unionByName(rows.agg(cut).select(F.lit(None).cast("string").alias("_lang"), "threshold", F.lit(True).alias("_all")))
     found = bounded_rows(both, MAX_LANGUAGES, "languages")
-    return df_of(scored, found, both.schema)
-
-
-def df_of(like: DataFrame, rows: list, schema) -> DataFrame:
-    return like.sparkSession.createDataFrame(rows, schema)
+    return scored.sparkSession.createDataFrame(found, both.schema)
 
 
 def classify(scored: DataFrame, limits: DataFrame, lang: str = "lang") -> DataFrame:
