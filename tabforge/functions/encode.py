@@ -9,9 +9,9 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PHRASE_BREAKS = r"[.,\-0-9]+"
-LINE_BREAKS = r"[\n\r]"
-BLANKS = " \t"
+PHRASE_BREAKS = r"[.,\-\p{Nd}]+"
+LINE_BREAKS = r"[\n\r\x0B\x0C\x1C-\x1E\u0085\u2028\u2029]"
+BLANKS = r"[\s\x0B\x1C-\x1F\p{Z}\u0085]+"
 
 
 def onehot_to_index(cols: Sequence[str]) -> Column:
@@ -50,7 +50,8 @@ def split_phrases(c, breaks: str = PHRASE_BREAKS) -> Column:
     """Phrases of a text: cut at line ends, then at ``breaks``; trimmed, empty ones dropped."""
     text = F.col(c) if isinstance(c, str) else c
     parts = F.split(text, f"{LINE_BREAKS}|{breaks}")
-    return F.filter(F.transform(parts, lambda p: F.btrim(p, F.lit(BLANKS))), lambda p: p != "")
+    trimmed = F.transform(parts, lambda p: F.regexp_replace(p, f"^{BLANKS}|{BLANKS}$", ""))
+    return F.filter(trimmed, lambda p: p != "")
 
 
 def phrase_matrix(phrases, vocab: Sequence[str], prefix: str = "has_") -> dict[str, Column]:

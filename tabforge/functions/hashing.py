@@ -30,9 +30,3 @@ def hashed_below(key, seed, frac: float) -> Column:
     if frac == 1.0:
         return F.lit(True)
     return F.substring(row_hash(key, seed), 1, PREFIX_DIGITS) < F.lit(threshold(frac))
-
-
-def hash_bucket(key, seed, buckets: int) -> Column:
-    """Bucket 0..buckets-1, evenly filled whatever the keys look like."""
-    prefix = F.conv(F.substring(row_hash(key, seed), 1, PREFIX_DIGITS), 16, 10).cast("long")
-    return F.pmod(prefix, F.lit(buckets)).cast("int")

@@ -23,7 +23,7 @@ EXPRESSION_TERMS = 400
 
 
 def class_moments(df: DataFrame, cols, label: str, max_classes: int = 1_000) -> list[tuple]:
-    """Per class, sorted: (label, rows, mean, population covariance).
+    """Per class, sorted: (label, rows, mean, population covariance), over rows without a missing cell.
 
     Few columns: Spark's own covariance aggregates. Many: each task adds up cross products of its rows, shifted by
     the overall mean against cancellation, and only the sums are shuffled.
@@ -31,7 +31,7 @@ def class_moments(df: DataFrame, cols, label: str, max_classes: int = 1_000) ->
     d = len(cols)
     if d > MAX_FEATURES:
         raise ValueError(f"at most {MAX_FEATURES} features")
-    df = df.dropna(subset=[label])
+    df = df.dropna(subset=[label, *cols])
     upper = [(i, j) for i in range(d) for j in range(i, d)]
     if d <= PAIR_LIMIT:
         aggs = [F.covar_pop(cols[i], cols[j]).alias(f"c_{i}_{j}") for i, j in upper]

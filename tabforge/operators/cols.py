@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml.feature import Imputer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.operators.ranking import ordered_position
+
 
 def cols_pos(df: DataFrame, start: int | None = None, end: int | None = None) -> list[str]:
     """Names at positions start..end-1, counted like a Python slice."""
@@ -66,9 +68,17 @@ def lookup(df: DataFrame, key: str, value) -> DataFrame:
     return df.where(F.col(key) == F.lit(value))
 
 
+TOP_ROWS = 100_000
+
+
 def lookup_position(df: DataFrame, key: str, position: int) -> DataFrame:
-    """Row number ``position`` (from 0) when sorted by ``key``: a top-k, not a full sort."""
-    return df.orderBy(key).limit(position + 1).orderBy(F.col(key).desc()).limit(1)
+    """Row number ``position`` (from 0) when sorted by ``key``.
+
+    Near the top it is a top-k; further down, positions are counted by ranges, so no task holds all rows before it.
+    """
+    if position < TOP_ROWS:
+        return df.orderBy(key).limit(position + 1).orderBy(F.col(key).desc()).limit(1)
+    return ordered_position(df, key, out="_pos").where(F.col("_pos") == position).drop("_pos")
 
 
 def semi_join_keys(df: DataFrame, keys: DataFrame, on) -> DataFrame:
@@ -160,8 +170,3 @@ def finite_or(df: DataFrame, cols: Sequence[str], value: float = 0.0) -> DataFra
 def shift_label(df: DataFrame, col: str, by: int = -1) -> DataFrame:
     """Class numbers moved by a constant, as integers."""
     return df.withColumn(col, (F.col(col) + F.lit(by)).cast("int"))
-
-
-def with_features(df: DataFrame, features: Mapping) -> DataFrame:
-    """Add many derived columns in one projection."""
-    return df.withColumns(dict(features))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from tabforge.runtime import broadcast_if_small
 from tabforge.sources.io import require_key
 
+NULL_PLACES = 10_000
+
 
 def enrich(
     df: DataFrame,
@@ -29,7 +31,8 @@ def enrich(
 ) -> DataFrame:
     """Left join that keeps every row of ``df`` once.
 
-    A key that occurs twice in ``dim`` would multiply rows, so it is an error unless the check is off.
+    A key that occurs twice in ``dim`` would multiply rows, so it is an error unless the check is off. Rows whose key is
+    null match nothing; they are dealt out to all tasks.
     ``salts`` > 1 spreads a hot key of ``df`` over that many tasks and repeats each row of ``dim`` as often;
     the salt is a hash of the row, so a task that is run again sends its rows the same way.
     """
@@ -41,6 +44,12 @@ def enrich(
         df = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
         dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         keys.append("_salt")
+    elif not null_keys_match:
+        missing = reduce(or_, [F.col(k).isNull() for k in on])
+        anywhere = F.pmod(F.xxhash64(*df.columns), F.lit(NULL_PLACES)) + 1
+        df = df.withColumn("_salt", F.when(missing, anywhere).otherwise(0))
+        dim = dim.withColumn("_salt", F.lit(0).cast("long"))
+        keys.append("_salt")
     if not null_keys_match:
         return df.join(dim, keys, "left").drop("_salt")
     right = dim.withColumnsRenamed({k: f"_r_{k}" for k in keys})
@@ -53,17 +62,24 @@ def lookup_join(df: DataFrame, table: DataFrame, code) -> DataFrame:
     return df.join(broadcast_if_small(require_key(table, code)), code, "left")
 
 
-def range_join(df: DataFrame, col: str, ranges: DataFrame, lo: str = "lo", hi: str = "hi", bins: int = 256) -> DataFrame:
+def range_join(df: DataFrame, col: str, ranges: DataFrame, lo: str = "lo", hi: str = "hi", bins: int | None = None) -> DataFrame:
     """Pairs of a row and a range with lo <= value < hi; ranges may overlap.
 
     Both sides get a bin number, so it is an equality join with a filter instead of a comparison of all
-    pairs. A range is repeated once per bin it touches, at most ``bins`` times.
+    pairs. A range is repeated once per bin it touches. By default there are four bins for each range, or fewer if the
+    ranges are so wide that they would be repeated more than about ten times on average.
     """
     ranges = ranges.where(F.col(lo) < F.col(hi))
-    ends = ranges.agg(F.min(lo).cast("double").alias("a"), F.max(hi).cast("double").alias("b")).first()
+    lengths = F.sum(F.col(hi).cast("double") - F.col(lo).cast("double"))
+    ends = ranges.agg(
+        F.min(lo).cast("double").alias("a"), F.max(hi).cast("double").alias("b"), F.count(F.lit(1)).alias("n"), lengths.alias("w")
+    ).first()
     a, b = (0.0, 1.0) if ends["a"] is None else (ends["a"], ends["b"])
     if not math.isfinite(a) or not math.isfinite(b):
         raise ValueError("range ends must be finite")
+    if bins is None:
+        n = max(1, ends["n"])
+        bins = int(max(1, min(4 * n, 8 * n * (b - a) / ends["w"] if ends["w"] else 4 * n)))
     width = (b - a) / bins
 
     def bin_of(c):
@@ -76,12 +92,14 @@ def range_join(df: DataFrame, col: str, ranges: DataFrame, lo: str = "lo", hi: s
 
 
 def glue(dfs: Sequence[DataFrame], key: str, check: bool = True) -> DataFrame:
-    """Column blocks of the same rows put side by side by key. Blocks with other row counts are an error."""
+    """Column blocks of the same rows put side by side by key. A key that some block has not, or has twice, is an error.
+
+    The check counts keys only; the blocks are joined once.
+    """
     if check:
-        counts = [d.count() for d in dfs]
-        if len(set(counts)) > 1:
-            raise ValueError(f"the blocks have different row counts: {counts}")
-    out = reduce(lambda x, y: x.join(y, key), dfs)
-    if check and out.count() != counts[0]:
-        raise ValueError("the blocks hold different keys")
-    return out
+        keys = reduce(DataFrame.unionAll, [d.select(F.col(key).alias("_k"), F.lit(i).alias("_i")) for i, d in enumerate(dfs)])
+        per = keys.groupBy("_k").agg(*[F.count_if(F.col("_i") == i).alias(f"n{i}") for i in range(len(dfs))])
+        odd = per.where(reduce(or_, [F.col(f"n{i}") != 1 for i in range(len(dfs))]) | F.col("_k").isNull()).take(3)
+        if odd:
+            raise ValueError(f"the blocks hold different keys: {[r.asDict() for r in odd]}")
+    return reduce(lambda x, y: x.join(y, key), dfs)

@@ -11,9 +11,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabforge.runtime import bounded_rows
+
 
 def accuracy_of(label: str, pred: str) -> Column:
-    return F.avg((F.col(label) == F.col(pred)).cast("double"))
+    """Share of right predictions among rows with a label; a missing prediction is wrong."""
+    right = F.coalesce(F.col(label) == F.col(pred), F.lit(False)).cast("double")
+    return F.avg(F.when(F.col(label).isNotNull(), right))
 
 
 def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -27,16 +31,18 @@ def pair_counts(df: DataFrame, label: str = "label", pred: str = "prediction") -
     )
 
 
-def confusion(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
-    """Rows per (true, predicted) pair, also for pairs that never occur."""
-    counts = pair_counts(df, label, pred)
-    classes = F.array_distinct(F.flatten(F.collect_set(F.array("label", "prediction"))))
-    grid = (
-        counts.agg(classes.alias("c"))
-        .select("c", F.explode("c").alias("label"))
-        .select("label", F.explode("c").alias("prediction"))
-    )
-    return grid.join(counts, ["label", "prediction"], "left").fillna(0, ["n"])
+def confusion(df: DataFrame, label: str = "label", pred: str = "prediction", max_classes: int = 1_000) -> DataFrame:
+    """Rows per (true, predicted) pair, also for pairs that never occur. The scored table is read once.
+
+    Rows without label or prediction are in no cell. More than ``max_classes`` classes are an error.
+    """
+    pairs = pair_counts(df, label, pred)
+    n = {(r["label"], r["prediction"]): r["n"] for r in bounded_rows(pairs, max_classes**2, "pairs of classes")}
+    classes = sorted({c for pair in n for c in pair if c is not None})
+    if len(classes) > max_classes:
+        raise ValueError(f"more than {max_classes} classes")
+    cells = [(a, b, n.get((a, b), 0)) for a in classes for b in classes]
+    return df.sparkSession.createDataFrame(cells, pairs.schema)
 
 
 def class_counts(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -86,7 +92,7 @@ def class_report(df: DataFrame, label: str = "label", pred: str = "prediction")
 
 
 def mae(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
-    """Mean absolute error on class numbers."""
+    """Mean absolute error on class numbers; rows without a prediction have no error and are left out."""
     return df.agg(F.avg(F.abs(F.col(label) - F.col(pred))).alias("mae"))
 
 

@@ -6,8 +6,10 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,9 +120,9 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tru
 def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair of columns as rows (a, b, r).
 
-    Few columns: covariances of all pairs and variances in one pass. They belong to the same rows only if no
-    cell is missing; otherwise each pair is taken over the rows where both are present. Many columns: MLlib's
-    Gram matrix over the complete rows. A constant column has no correlation (null).
+    Each pair is taken over the rows where both are present, however many columns there are. A column that is constant
+    there has no correlation (null). Few columns: Spark's covariances in one pass, and a second one only if cells are
+    missing. Many: matrix products of each task's rows, of which only the sums are shuffled.
     """
     cols = list(cols)
     spark, schema = df.sparkSession, "a string, b string, r double"
@@ -142,12 +144,40 @@ def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         own = [(c, c, 1.0 if one[f"v{i}"] else None) for i, c in enumerate(cols)]
         both = [(cols[i], cols[j], x) for (i, j), x in r.items()] + [(cols[j], cols[i], x) for (i, j), x in r.items()]
         return spark.createDataFrame(own + both, schema)
-    vec = VectorAssembler(inputCols=cols, outputCol="_vec", handleInvalid="skip").transform(df)
-    m = Correlation.corr(vec, "_vec").first()[0].toArray()
-    rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    m = _pairwise_matrix(df, cols)
+    rows = [(a, b, None if np.isnan(m[i, j]) else float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return spark.createDataFrame(rows, schema)
 
 
+def _pairwise_matrix(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """Correlations over pairwise present rows; NaN where there is none."""
+    d = len(cols)
+    number = [F.col(f"`{c}`").cast("double") for c in cols]
+    ends = df.agg(*[F.max(x).alias(f"h{i}") for i, x in enumerate(number)], *[F.min(x).alias(f"l{i}") for i, x in enumerate(number)]).first()
+    centre = np.array([((ends[f"h{i}"] or 0.0) + (ends[f"l{i}"] or 0.0)) / 2 for i in range(d)])
+
+    def sums(batches):
+        total = np.zeros((4, d, d))
+        for b in batches:
+            x = np.array(b["vec"].to_list(), dtype=float).reshape(len(b), d) - centre
+            here = ~np.isnan(x)
+            x, here = np.where(here, x, 0.0), here.astype(float)
+            total += [here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x]
+        yield pd.DataFrame({"x": [total.ravel()]})
+
+    parts = df.select(F.array(*number).alias("vec")).mapInPandas(sums, "x array<double>")
+    total = parts.groupBy(F.lit("all")).agg(Summarizer.sum(array_to_vector("x")).alias("x")).first()
+    if total is None:
+        return np.full((d, d), np.nan)
+    n, first, second, cross = total["x"].toArray().reshape(4, d, d)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = second - first * first / n  # of the row's column, over the rows where the other is present too
+        spread = np.where(spread > 1e-12 * second, spread, np.nan)
+        r = (cross - first * first.T / n) / np.sqrt(spread * spread.T)
+    np.fill_diagonal(r, np.where(np.isnan(np.diag(spread)), np.nan, 1.0))
+    return r
+
+
 def _complete_corr(a: str, b: str) -> Column:
     """Correlation over the rows where both are present; null (no error) where one does not vary."""
     sa = F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a)))
@@ -224,7 +254,8 @@ def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> Data
     lo, hi = ends["lo"], ends["hi"]
     names = ["bin"] if by is None else [by, "bin"]
     if lo is None:
-        return df.limit(0).select(*([by] if by else []), F.lit(0).alias("bin"), F.lit(0).cast("long").alias("n"))
+        none = [F.lit(0).alias("bin"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("bin_lo")]
+        return df.limit(0).select(*([by] if by else []), *none)
     width = (hi - lo) / bins
     number = F.lit(0) if width == 0 else F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
     present = df.where(x.isNotNull()).select(*([by] if by else []), number.alias("bin"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.hashing import row_hash
-from tabforge.runtime import broadcast_if_small, in_parallel
+from tabforge.runtime import broadcast_if_small, cut_lineage, in_parallel
 
 ROWS_PER_BUCKET = 100_000
 
@@ -55,12 +55,14 @@ def hashed_position(df: DataFrame, key, seed, by=(), out: str = "pos", size: str
 
 
 def ordered_position(df: DataFrame, col: str, ties=(), out: str = "pos", size: str | None = None) -> DataFrame:
-    """0-based position of each row in the order of a number column with few repeats, such as a key."""
-    n = df.count()
-    buckets = max(8, min(4096, n // ROWS_PER_BUCKET))
-    bounds = value_bounds(df, [col], buckets)[col]
-    spread = _bucketed(df, col, bounds)
-    return _from_buckets(spread, [], [col, *ties], out, size)
+    """0-based position of each row in the order of a column with few repeats, such as a key; nulls come first.
+
+    Works for any type that can be ordered: rows are dealt out by ranges and written once, so that counting and placing
+    see the same ranges. The number of ranges grows with the rows.
+    """
+    parts = max(8, df.count() // ROWS_PER_BUCKET)
+    dealt = df.repartitionByRange(parts, col, *ties).withColumn("_bucket", F.spark_partition_id())
+    return _from_buckets(cut_lineage(dealt), [], [col, *ties], out, size)
 
 
 def value_bounds(df: DataFrame, cols, buckets: int) -> dict[str, list[float]]:

@@ -206,13 +206,20 @@ def oof(est: Estimator, train: DataFrame, test: DataFrame, key: str, label: str,
 
 
 class PerGroupModel(Model):
+    """Rows of a group that no model knows, or without a group, keep a null prediction."""
+
     def __init__(self, group, models):
         super().__init__()
         self.group, self.models = group, models
 
     def _transform(self, df: DataFrame) -> DataFrame:
         parts = [m.transform(df.where(F.col(self.group) == F.lit(g))) for g, m in self.models.items()]
-        return reduce(DataFrame.unionByName, parts)
+        parts.append(_unknown(df, self.group, list(self.models)))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _unknown(df: DataFrame, group: str, known: Sequence) -> DataFrame:
+    return df.where(~F.coalesce(F.col(group).isin(list(known)), F.lit(False)))
 
 
 def per_group_fit(make: Callable[[list[str]], Estimator], df: DataFrame, group: str, cols: Sequence[str],
@@ -243,11 +250,15 @@ def per_group_oof(make: Callable[[list[str]], Estimator], train: DataFrame, test
                   max_groups: int = 100) -> tuple[DataFrame, DataFrame]:
     """Per group: out-of-fold probabilities of the train rows, mean of the k models' for the test rows.
 
-    Columns ``p_<label>`` for every label of the table; a class that a group does not have gets 0 there.
+    Columns ``p_<label>`` for every label of the table; a class that a group does not have gets 0 there. Rows of unknown
+    groups, or without a group, get nulls.
     """
     labels = classes_of(train, label)
-    inner, outer = [], []
-    for g in classes_of(train, group, max_groups):
+    groups = classes_of(train, group, max_groups)
+    nulls = [F.lit(None).cast("double").alias(f"p_{x}") for x in labels]
+    inner = [_unknown(train, group, groups).select(key, label, *nulls)]
+    outer = [_unknown(test, group, groups).select(key, *nulls)]
+    for g in groups:
         rows, asked = (d.where(F.col(group) == F.lit(g)) for d in (train, test))
         own = classes_of(rows, label)
         est = make(_varying(rows, cols, min_variance))

@@ -95,6 +95,12 @@ WILDERNESS = [f"Wilderness_Area{i}" for i in range(1, 5)]
 SOIL = [f"Soil_Type{i}" for i in range(1, 41)]
 
 
+def _pairs(stem: str, measure) -> dict[str, Column]:
+    """One column for each two of the three distances."""
+    named = {"road_fire": [ROAD, FIRE], "hydro_fire": [FIRE, HYDRO], "road_hydro": [ROAD, HYDRO]}
+    return {f"{stem}_{name}": measure(two) for name, two in named.items()}
+
+
 def cover_features() -> dict[str, Column]:
     """Derived columns of the forest cover problem; all of them fit one projection."""
     distances = [ROAD, FIRE, HYDRO]
@@ -102,13 +108,19 @@ def cover_features() -> dict[str, Column]:
         "distance_to_hydrology": M.row_norm([HYDRO, RISE]),
         "distance_mean": M.row_mean(distances),
         "distance_sum": M.row_sum(distances),
-        "distance_road_fire": M.pair_diff(ROAD, FIRE),
-        "distance_hydro_road": M.pair_diff(HYDRO, ROAD),
-        "distance_hydro_fire": M.pair_diff(HYDRO, FIRE),
+        **_pairs("distance", M.row_mean),
+        **_pairs("distance_sum", M.row_sum),
+        "distance_dif_road_fire": M.pair_diff(ROAD, FIRE),
+        "distance_dif_hydro_road": M.pair_diff(HYDRO, ROAD),
+        "distance_dif_hydro_fire": M.pair_diff(HYDRO, FIRE),
         "cosine_of_slope": M.cos_deg("Slope"),
         "hillshade": M.weighted_sum(dict(zip(SHADES, SHADE_WEIGHTS))),
         "shade_mean": M.row_mean(SHADES),
+        "shade_noon_diff": M.pair_diff(SHADES[0], SHADES[1]),
+        "shade_3pm_diff": M.pair_diff(SHADES[1], SHADES[2]),
+        "shade_all_diff": M.pair_diff(SHADES[0], SHADES[2]),
         "elevation_above_water": M.pair_diff("Elevation", RISE),
+        "elevation_plus_rise": M.row_sum(["Elevation", RISE]),
         "elevation_bin": M.bin_floor("Elevation", 200),
         "aspect_bin": M.bin_floor("Aspect", 45),
         "slope_bin": M.bin_floor("Slope", 6),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tabforge.models.learner import label_number
 from tabforge.operators import metrics as V
 from tabforge.operators.metrics import cv_summary
+from tabforge.operators.profile import classes_of
 from tabforge.operators.split import kfold, stratified_kfold
 from tabforge.runtime import in_parallel
 
@@ -144,12 +145,13 @@ def random_search(est: Estimator, space: Mapping[Param, Sequence], n: int, df: D
 def sweep(est: Estimator, space: Mapping[Param, Sequence], train: DataFrame, val: DataFrame, metric: str = "accuracy",
           label: str = "label") -> DataFrame:
     """Train and validation score for each value of each parameter, the others at their defaults."""
+    labels = classes_of(train, label) if metric == "log_loss" else None
     train, val = train.persist(), val.persist()
 
     def one(setting):
         param, v = setting
         model = est.copy({param: v}).fit(train)
-        return (param.name, str(v), *[float(score(model.transform(d), metric, label)) for d in (train, val)])
+        return (param.name, str(v), *[float(score(model.transform(d), metric, label, labels)) for d in (train, val)])
 
     try:
         train.count(), val.count()

@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabforge.runtime import bounded_rows
-
 BAD_ROW = "_bad_row"
 
 
@@ -26,19 +24,25 @@ def read_csv(
     """Scan CSV files with a given schema.
 
     on_bad: ``null`` keeps a malformed row with null cells and its text in ``_bad_row``; ``drop`` leaves
-    such rows out; ``fail`` stops the job.
+    such rows out; ``fail`` stops the job. A row is malformed if any of its cells is, whichever columns are asked for
+    later. With a header, each file's names must be the schema's, in order; other names stop the job.
     """
-    modes = {"null": "PERMISSIVE", "drop": "DROPMALFORMED", "fail": "FAILFAST"}
-    if on_bad not in modes:
-        raise ValueError(f"on_bad must be one of {sorted(modes)}")
+    if on_bad not in ("null", "drop", "fail"):
+        raise ValueError("on_bad must be one of ['drop', 'fail', 'null']")
     st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    reader = spark.read.option("header", header).option("mode", modes[on_bad])
+    reader = spark.read.option("header", header).option("enforceSchema", not header).option("mode", "PERMISSIVE")
     if ts_format:
         reader = reader.option("timestampFormat", ts_format)
+    reader = reader.option("columnNameOfCorruptRecord", BAD_ROW)
+    marked = reader.schema(T.StructType(st.fields + [T.StructField(BAD_ROW, T.StringType())])).csv(path)
     if on_bad == "null":
-        st = T.StructType(st.fields + [T.StructField(BAD_ROW, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", BAD_ROW)
-    return reader.schema(st).csv(path)
+        return marked
+    # A cell is only parsed if its column is asked for; a condition on all of them, which always holds, asks for them.
+    every = F.xxhash64(*[f"`{f.name}`" for f in st.fields]) >= F.lit(-(2**63))
+    whole = every & F.col(BAD_ROW).isNull()
+    if on_bad == "fail":
+        whole = whole | F.raise_error(F.concat(F.lit("malformed row: "), F.col(BAD_ROW))).cast("boolean")
+    return marked.where(whole).drop(BAD_ROW)
 
 
 def read_csv_named(spark: SparkSession, path, types: dict[str, str], **options) -> DataFrame:
@@ -96,9 +100,11 @@ def inputs_fingerprint(spark: SparkSession, paths: Sequence[str], *params) -> st
     parts = []
     for p in paths:
         fs, jp = _fs(spark, p)
-        for st in sorted(fs.globStatus(jp) or [], key=lambda s: s.getPath().toString()):
-            files = [st] if st.isFile() else list(fs.listStatus(st.getPath()))
-            parts += [f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}" for f in files]
+        for st in fs.globStatus(jp) or []:
+            files = fs.listFiles(st.getPath(), True)  # folders below folders too
+            while files.hasNext():
+                f = files.next()
+                parts.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
     return hashlib.md5(repr((sorted(parts), params)).encode()).hexdigest()
 
 
@@ -130,9 +136,3 @@ def soil_table(spark: SparkSession) -> DataFrame:
 
     rows = [(int(code), text) for code, text in (s.split(" ", 1) for s in SOIL_DESCRIPTIONS.splitlines())]
     return literal_table(spark, rows, "code int, description string")
-
-
-def small_column(df: DataFrame, col: str, max_rows: int) -> list:
-    """Distinct values of a column that must be few, sorted."""
-    rows = bounded_rows(df.select(col).where(F.col(col).isNotNull()).distinct(), max_rows, f"values of {col}")
-    return sorted(r[0] for r in rows)
