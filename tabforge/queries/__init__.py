@@ -12,6 +12,7 @@ from tabforge.queries import (  # noqa: E402,F401
     rowwise,
     scaling,
     scoring,
+    searching,
     selecting,
     sources,
     splitting,
