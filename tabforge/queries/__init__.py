@@ -5,6 +5,7 @@ from tabforge.queries.registry import QUERIES, SQL
 from tabforge.queries import (  # noqa: E402,F401
     columns,
     encoding,
+    exact_cases,
     gaps,
     joining,
     modelling,
