@@ -16,19 +16,22 @@ from pyspark.sql import functions as F
 from tabforge.functions.hashing import hashed_below
 from tabforge.models.base import ColumnEstimator
 from tabforge.models.learner import X, Y, label_number
+from tabforge.models.saving import SavedInParts
 from tabforge.operators.profile import class_sizes
 from tabforge.runtime import cut_lineage, in_parallel, spread
 
 ROUNDS_PER_CUT = 5
 
 
-class _TreesModel(Model, HasInputCols, HasPredictionCol):
+class _TreesModel(SavedInParts, Model, HasInputCols, HasPredictionCol):
     """Fitted MLlib models and the labels they vote for."""
 
+    PLAIN, PARTS = ("cols", "labels", "weights"), ("parts",)
+
     def __init__(self, cols, labels, parts, weights=None):
         super().__init__()
         self._set(inputCols=list(cols), predictionCol="prediction")
-        self.labels, self.parts, self.weights = list(labels), list(parts), weights
+        self.cols, self.labels, self.parts, self.weights = list(cols), list(labels), list(parts), weights
 
     def _assembled(self, df: DataFrame) -> DataFrame:
         return VectorAssembler(inputCols=self.getOrDefault("inputCols"), outputCol=X).transform(df)

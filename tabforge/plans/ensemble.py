@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.models.learner import label_number
+from tabforge.models.saving import SavedInParts
 from tabforge.operators.cols import low_variance_cols
 from tabforge.operators.profile import classes_of
 from tabforge.operators.split import hash_sample, stratified_split
@@ -79,7 +80,9 @@ class _Group(Estimator):
             rows.unpersist()
 
 
-class VotingModel(Model):
+class VotingModel(SavedInParts, Model):
+    PLAIN, PARTS = ("labels", "weights"), ("models",)
+
     def __init__(self, models, labels, weights):
         super().__init__()
         self.models, self.labels, self.weights = models, labels, weights
@@ -103,9 +106,11 @@ class Voting(_Group):
         return VotingModel(in_parallel(lambda b: b.fit(df), self.bases), classes_of(df, self.label), self.weights)
 
 
-class StackedModel(Model):
+class StackedModel(SavedInParts, Model):
     """Base models, then a model on their outputs."""
 
+    PLAIN, PARTS = ("labels", "use_proba"), ("models", "meta")
+
     def __init__(self, models, meta, labels, use_proba):
         super().__init__()
         self.models, self.meta, self.labels, self.use_proba = models, meta, labels, use_proba
@@ -205,9 +210,11 @@ def oof(est: Estimator, train: DataFrame, test: DataFrame, key: str, label: str,
     return wide.select(key, label, *names), means
 
 
-class PerGroupModel(Model):
+class PerGroupModel(SavedInParts, Model):
     """Rows of a group that no model knows, or without a group, keep a null prediction."""
 
+    PLAIN, PARTS = ("group",), ("models",)
+
     def __init__(self, group, models):
         super().__init__()
         self.group, self.models = group, models
