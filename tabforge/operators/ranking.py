@@ -17,6 +17,7 @@ from tabforge.functions.hashing import row_hash
 from tabforge.runtime import broadcast_if_small, cut_lineage, in_parallel
 
 ROWS_PER_BUCKET = 100_000
+MAX_SORTED = 1_000_000  # different values that one task sorts
 
 
 def hash_digits(n: int) -> int:
@@ -69,53 +70,80 @@ def value_bounds(df: DataFrame, cols, buckets: int) -> dict[str, list[float]]:
     """Values that cut each column into about equal parts. At most ``buckets`` numbers per column."""
     probs = [i / buckets for i in range(1, buckets)]
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10 * buckets).alias(c) for c in cols]).first()
-    return {c: sorted(set(row[c] or [])) for c in cols}
+    return {c: sorted({x for x in row[c] or [] if math.isfinite(x)}) for c in cols}
 
 
 def _splits(bounds: list[float]) -> list[float]:
     return [float("-inf"), *(bounds or [0.0]), float("inf")]
 
 
-def _bucketed(df: DataFrame, col: str, bounds: list[float]) -> DataFrame:
-    cut = Bucketizer(splits=_splits(bounds), inputCol="_x", outputCol="_bucket")
-    return cut.transform(df.withColumn("_x", F.col(col).cast("double"))).drop("_x")
-
-
 def exact_quantiles(df: DataFrame, cols, probs) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation, exact, as plain numbers.
 
-    Column by column, a few at a time, so each job reads one column. Equal values are counted first: a value
-    that fills a third of the table is one row afterwards. The bucket that holds a wanted rank is found
-    from bucket counts, and only such buckets are sorted.
+    One pass counts the rows of every column's buckets, in each task before the shuffle. Only rows in a bucket that holds
+    a wanted rank are looked at again; a bucket with too many different values is cut further.
     """
-    cols = list(cols)
+    cols, probs = list(cols), list(probs)
     bounds = value_bounds(df, cols, max(8, min(4096, df.count() // ROWS_PER_BUCKET)))
-    found = in_parallel(lambda c: _column_quantiles(df, c, list(probs), bounds[c]), cols)
-    return dict(zip(cols, found))
-
-
-def _column_quantiles(df: DataFrame, col: str, probs: list[float], bounds: list[float]) -> list[float | None]:
-    values = df.select(F.col(col).cast("double").alias("_value")).where(F.col("_value").isNotNull())
-    counted = values.groupBy("_value").agg(F.count(F.lit(1)).alias("_n"))
-    spread = _bucketed(counted, "_value", bounds).persist()
+    names = [f"_x{i}" for i in range(len(cols))]
+    numbers = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(n) for c, n in zip(cols, names)])
+    marks = [f"_b{i}" for i in range(len(cols))]
+    cut = Bucketizer(
+        splitsArray=[_splits(bounds[c]) for c in cols], inputCols=names, outputCols=marks, handleInvalid="keep"
+    ).transform(numbers)
+    cells = [F.struct(F.lit(i).alias("c"), F.when(F.col(n).isNotNull(), F.col(b)).alias("b")) for i, (n, b) in enumerate(zip(names, marks))]
+    sizes: list[dict] = [{} for _ in cols]
+    for r in cut.select(F.inline(F.array(*cells))).where("b IS NOT NULL").groupBy("c", "b").count().collect():
+        sizes[r["c"]][r["b"]] = r["count"]
+    ranks = []
+    for counts in sizes:
+        total = sum(counts.values())
+        ranks.append([(math.floor(p * (total - 1)), math.ceil(p * (total - 1)), p * (total - 1)) for p in probs] if total else [])
+
+    def column(i: int) -> list[float | None]:
+        wanted = {rank for lo, hi, _ in ranks[i] for rank in (lo, hi)}
+        at = _values_at(numbers.select(F.col(names[i]).alias("_value")), _splits(bounds[cols[i]]), sizes[i], wanted)
+        return [at[lo] + (at[hi] - at[lo]) * (exact - lo) for lo, hi, exact in ranks[i]] or [None for _ in probs]
+
+    return dict(zip(cols, in_parallel(column, range(len(cols)))))
+
+
+def _values_at(values: DataFrame, splits: list[float], sizes: dict, ranks: set[int]) -> dict[int, float]:
+    """Value at each rank, from the number of rows in each bucket between ``splits``."""
+    out: dict[int, float] = {}
+    start = 0
+    for b in sorted(sizes):
+        inside = sorted(r - start for r in ranks if start <= r < start + sizes[b])
+        if inside:
+            low, high = splits[int(b)], splits[int(b) + 1]
+            value = F.col("_value")
+            rows = values.where((value >= low) & ((value <= high) if high == math.inf else (value < high)))
+            counted = rows.groupBy("_value").agg(F.count(F.lit(1)).alias("_n"))
+            out |= {r + start: v for r, v in _ranked(counted, inside).items()}
+        start += sizes[b]
+    return out
+
+
+def _ranked(counted: DataFrame, ranks: list[int]) -> dict[int, float]:
+    """Value at each rank of a table of values and their numbers."""
+    counted = counted.persist()
     try:
-        sizes = sorted(spread.groupBy("_bucket").agg(F.sum("_n").alias("n")).collect())
-        total = sum(r["n"] for r in sizes)
-        if total == 0:
-            return [None for _ in probs]
-        ends = [(math.floor(p * (total - 1)), math.ceil(p * (total - 1))) for p in probs]
-        before, starts = 0, []
-        for r in sizes:
-            starts.append((r["_bucket"], before, before + r["n"]))
-            before += r["n"]
-        ranks = sorted({rank for pair in ends for rank in pair})
-        needed = {b: start for b, start, end in starts for rank in ranks if start <= rank < end}
-        start = F.coalesce(*[F.when(F.col("_bucket") == b, F.lit(s)) for b, s in needed.items()])
-        run = F.sum("_n").over(Window.partitionBy("_bucket").orderBy("_value"))
-        placed = spread.where(F.col("_bucket").isin(list(needed))).select("_value", "_n", (start + run).alias("_end"))
+        distinct = counted.count()
+        if distinct > MAX_SORTED:
+            splits = _splits(value_bounds(counted, ["_value"], 256)["_value"])
+            cut = Bucketizer(splits=splits, inputCol="_value", outputCol="_bucket").transform(counted)
+            sizes = {r["_bucket"]: r["n"] for r in cut.groupBy("_bucket").agg(F.sum("_n").alias("n")).collect()}
+            out, start = {}, 0
+            for b in sorted(sizes):
+                inside = [r - start for r in ranks if start <= r < start + sizes[b]]
+                if inside:
+                    part = cut.where(F.col("_bucket") == b).select("_value", "_n")
+                    out |= {r + start: v for r, v in _ranked(part, inside).items()}
+                start += sizes[b]
+            return out
+        run = F.sum("_n").over(Window.orderBy("_value"))  # MAX_SORTED rows at most
         hits = F.filter(F.array(*[F.lit(r) for r in ranks]), lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_n")))
-        rows = placed.select("_value", F.explode(hits).alias("rank")).collect()
+        found = counted.withColumn("_end", run).select("_value", F.explode(hits).alias("rank")).collect()
+        return {r["rank"]: r["_value"] for r in found}
     finally:
-        spread.unpersist()
-    at = {r["rank"]: r["_value"] for r in rows}
-    return [at[lo] + (at[hi] - at[lo]) * (p * (total - 1) - lo) for p, (lo, hi) in zip(probs, ends)]
+        counted.unpersist()

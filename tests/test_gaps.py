@@ -154,3 +154,19 @@ def test_glue_checks_keys_once(spark):
 def test_phrases_trim_any_blank(spark):
     df = spark.createDataFrame([(" Como family - x   y٣z",)], "t string")
     assert df.select(split_phrases("t")).first()[0] == ["Como family", "x", "y", "z"]
+
+
+@pytest.mark.parametrize("limit", [3, 1_000_000])
+def test_quantiles_at_any_limit(spark, monkeypatch, limit):
+    from tabforge.operators import ranking
+
+    monkeypatch.setattr(ranking, "MAX_SORTED", limit)
+    rng = np.random.default_rng(4)
+    xs = np.concatenate([rng.normal(size=500), np.full(400, 0.25), [np.inf]])
+    rows = [(float(x), None if i % 3 else float(i), None) for i, x in enumerate(xs)] + [(float("nan"), None, None)]
+    df = spark.createDataFrame(rows, "x double, y double, z double").repartition(4)
+    probs = [0.0, 0.1, 0.5, 0.77, 0.99]
+    found = ranking.exact_quantiles(df, ["x", "y", "z"], probs)
+    assert found["x"] == pytest.approx(np.quantile(xs, probs).tolist())
+    assert found["y"] == pytest.approx(np.quantile([r[1] for r in rows if r[1] is not None], probs).tolist())
+    assert found["z"] == [None] * 5
