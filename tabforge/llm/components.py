@@ -1,18 +1,23 @@
 """Connected components by contraction: every node moves to the neighbour with the smallest hash of the round.
 
 Each round at least the moved nodes vanish and edges inside a contracted node are dropped, so the number of rounds grows
-with the logarithm of the longest path. A node with a third of all edges is reduced to one row per task before the
+with the logarithm of the longest path. Once the remaining edges fit into one task, a bounded number, that task finishes
+them by union-find. A node with a third of all edges is reduced to one row per task before the
 shuffle, and relabelling joins written tables, which Spark splits when one node is much more frequent than others.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.runtime import cut_lineage
 
 MAX_ROUNDS = 64
+LOCAL_EDGES = 500_000  # so many edges are finished by one task
 
 
 def connected(edges: DataFrame) -> DataFrame | None:
@@ -22,11 +27,13 @@ def connected(edges: DataFrame) -> DataFrame | None:
     """
     edges = _tidy(edges)
     moves: list[DataFrame] = []
-    while not edges.isEmpty():
+    while (left := edges.count()) > LOCAL_EDGES:
         if len(moves) == MAX_ROUNDS:
             raise RuntimeError("components did not settle")
         moves.append(_moves(edges, len(moves)))
         edges = _relabelled(edges, moves[-1])
+    if left:
+        moves.append(cut_lineage(edges.coalesce(1).mapInArrow(_union_find, "node long, to long")))
     if not moves:
         return None
     found = moves.pop().select("node", F.col("to").alias("root"))
@@ -37,6 +44,23 @@ def connected(edges: DataFrame) -> DataFrame | None:
     return found
 
 
+def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The smallest node of its component for each node of LOCAL_EDGES edges at most."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root.setdefault(up, up)
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    nodes = list(root)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(map(find, nodes), pa.int64())], ["node", "to"])
+
+
 def _tidy(edges: DataFrame) -> DataFrame:
     ends = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return cut_lineage(ends.distinct())

@@ -152,7 +152,9 @@ def test_near_odd_keys(spark):
     assert simhash.near_duplicates(empty).collect() == [] and simhash.drop_near_duplicates(empty).collect() == []
 
 
-def test_components_of_paths_and_stars(spark):
+@pytest.mark.parametrize("local", [0, 20, 500_000])
+def test_components_of_paths_and_stars(spark, monkeypatch, local):
+    monkeypatch.setattr(components, "LOCAL_EDGES", local)
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1001 + i) for i in range(300)] + [(7000, 7000)]
     found = components.connected(spark.createDataFrame(edges * 2, "a long, b long").repartition(4))
     groups = {}
