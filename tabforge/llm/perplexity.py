@@ -32,6 +32,7 @@ START = 0  # before the first character
 TOP = SYMBOL_BITS * (ORDER - 1)
 CHUNK = 1 << 21  # characters counted or scored together
 SHARD_ROWS = 4_000_000  # runs in a broadcast: 64 MB
+MAX_KEYS = 8_000_000  # trusted keys in a broadcast: 64 MB
 HELD_OUT = 8  # one trusted document in so many is kept from the counts and sets the thresholds
 MAX_LANGUAGES = 10_000
 QUANTILE = 0.995
@@ -77,12 +78,14 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
         yield start, chunk
 
 
-def run_counts(df: DataFrame, text: str) -> DataFrame:
-    """``run`` and ``n`` over all rows."""
+def run_counts(df: DataFrame, text: str, key: str | None = None, keys=None) -> DataFrame:
+    """``run`` and ``n`` over all rows, or over those whose ``key`` is in the broadcast sorted array ``keys``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, sums = np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
+            if keys is not None:
+                batch = batch.filter(pa.array(np.isin(batch.column(1).to_numpy(zero_copy_only=False), keys.value)))
             for _, chunk in _chunks([t or "" for t in batch.column(0).to_pylist()]):
                 new, n = np.unique(runs_of(chunk)[0], return_counts=True)
                 merged, at = np.unique(np.concatenate([runs, new]), return_inverse=True)
@@ -93,7 +96,8 @@ def run_counts(df: DataFrame, text: str) -> DataFrame:
                     runs, sums = np.empty(0, np.int64), np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(runs), pa.array(sums)], ["run", "n"])
 
-    parts = df.select(f"`{text}`").mapInArrow(count, "run long, n long")
+    columns = [f"`{text}`"] if keys is None else [f"`{text}`", f"`{key}`"]
+    parts = df.select(*columns).mapInArrow(count, "run long, n long")
     return parts.groupBy("run").agg(F.sum("n").alias("n"))
 
 
@@ -217,11 +221,25 @@ def trusted_keys(labels: DataFrame, key: str) -> DataFrame:
     return good.where("_good = 1 AND _toxic = 0").select("_key", held.alias("_held"))
 
 
+def trusted_counts(df: DataFrame, labels: DataFrame, key: str, text: str) -> DataFrame:
+    """``run`` and ``n`` over all trusted documents that are not held out.
+
+    Whole-number keys are broadcast after they were counted, so texts stay where they are; more than MAX_KEYS of them, or
+    other keys, meet the texts in a join by shuffle.
+    """
+    counted = cut_lineage(trusted_keys(labels, key).where("NOT _held").select("_key"))
+    whole = isinstance(df.schema[key].dataType, (T.LongType, T.IntegerType))
+    if whole and counted.count() <= MAX_KEYS:
+        keys = np.sort(counted.select(F.col("_key").cast("long")).toArrow()["_key"].to_numpy())
+        rows = df.where(F.col(key).isNotNull()).withColumn(key, F.col(key).cast("long"))
+        return run_counts(rows, text, key, df.sparkSession.sparkContext.broadcast(keys))
+    return run_counts(df.select(key, text).join(counted, F.col(key) == F.col("_key"), "left_semi"), text)
+
+
 def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> QualityModel:
     """Counts over all trusted documents that are not held out, probabilities for all runs of ``df``."""
-    counted = trusted_keys(labels, key).where("NOT _held")
-    trained = df.select(key, text).join(counted, F.col(key) == F.col("_key"), "left_semi")
-    table = probabilities(cut_lineage(run_counts(trained, text)), cut_lineage(run_counts(df, text).select("run")))
+    trained = cut_lineage(trusted_counts(df, labels, key, text))
+    table = probabilities(trained, cut_lineage(run_counts(df, text).select("run")))
     table = cut_lineage(table)
     shards = max(1, -(-table.count() // SHARD_ROWS))
     context = df.sparkSession.sparkContext
@@ -233,25 +251,23 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     return QualityModel(broadcasts)
 
 
-def thresholds(scored: DataFrame, labels: DataFrame, quantile: float, key: str, lang: str) -> DataFrame:
-    """``_lang`` and ``threshold`` for each language of the held-out trusted documents, and one row ``_all``."""
+def thresholds(scored: DataFrame, labels: DataFrame, quantile: float, key: str, lang: str) -> tuple[dict, float | None]:
+    """Threshold by language of the held-out trusted documents, and the one over all of them."""
     held = trusted_keys(labels, key).where("_held")
     rows = scored.join(held, F.col(key) == F.col("_key"), "left_semi").where("perplexity IS NOT NULL")
     cut = F.percentile_approx("perplexity", quantile, ACCURACY).alias("threshold")
-    own = rows.groupBy(F.col(lang).alias("_lang")).agg(cut).withColumn("_all", F.lit(False))
-    both = own.unionByName(rows.agg(cut).select(F.lit(None).cast("string").alias("_lang"), "threshold", F.lit(True).alias("_all")))
-    found = bounded_rows(both, MAX_LANGUAGES, "languages")
-    return scored.sparkSession.createDataFrame(found, both.schema)
+    own = bounded_rows(rows.groupBy(F.col(lang).alias("lang")).agg(cut), MAX_LANGUAGES, "languages")
+    return {r["lang"]: r["threshold"] for r in own}, rows.agg(cut).first()["threshold"]
 
 
-def classify(scored: DataFrame, limits: DataFrame, lang: str = "lang") -> DataFrame:
+def classify(scored: DataFrame, limits: tuple[dict, float | None], lang: str = "lang") -> DataFrame:
     """``scored`` with ``threshold`` and ``kept``."""
-    limits = F.broadcast(limits)  # a row for each language, MAX_LANGUAGES at most
-    own = limits.where("NOT _all").select("_lang", F.col("threshold").alias("_own"))
-    overall = limits.where("_all").select(F.lit(1).alias("_one"), F.col("threshold").alias("_rest"))
-    rows = scored.drop("threshold", "kept").join(own, F.col(lang).eqNullSafe(F.col("_lang")), "left")
-    rows = rows.withColumn("_one", F.lit(1)).join(overall, "_one", "left")
-    rows = rows.withColumn("threshold", F.coalesce("_own", "_rest")).drop("_lang", "_own", "_rest", "_one")
+    own, overall = limits
+    kind = scored.schema[lang].dataType.simpleString()
+    table = scored.sparkSession.createDataFrame(list(own.items()), f"_lang {kind}, threshold double")
+    # A row for each language, MAX_LANGUAGES at most.
+    rows = scored.drop("threshold", "kept").join(F.broadcast(table), F.col(lang).eqNullSafe(F.col("_lang")), "left")
+    rows = rows.drop("_lang").withColumn("threshold", F.coalesce("threshold", F.lit(overall).cast("double")))
     return rows.withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
 
 

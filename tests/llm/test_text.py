@@ -251,6 +251,7 @@ def test_quality_shards_and_empty(spark, monkeypatch):
     labels = spark.read.parquet(DOCUMENTS.replace("documents", "labels"))
     one = {r.doc_id: r.perplexity for r in perplexity.judge(docs, labels).collect()}
     monkeypatch.setattr(perplexity, "SHARD_ROWS", 30_000)
+    monkeypatch.setattr(perplexity, "MAX_KEYS", 10)
     rows = perplexity.judge(docs, labels).join(labels.groupBy("doc_id").agg(F.min("quality").alias("q")), "doc_id", "left").collect()
     assert {r.doc_id: r.perplexity for r in rows} == pytest.approx(one, rel=1e-5)
     good, bad = ([r.kept for r in rows if r.q == q] for q in (1, 0))
