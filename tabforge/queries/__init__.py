@@ -10,6 +10,7 @@ from tabforge.queries import (  # noqa: E402,F401
     joining,
     modelling,
     profiling,
+    regression,
     rowwise,
     scaling,
     scoring,
