@@ -52,12 +52,17 @@ def word_pieces(data: bytes, overlap: int) -> Iterator[list[bytes]]:
         at = end + 1
 
 
-def _bit_counts(words: list[bytes], shingle: int) -> tuple[int, np.ndarray]:
+def shingle_digests(words: list[bytes], shingle: int) -> bytes:
+    """Hashes of all runs of ``shingle`` words, one after the other, eight bytes each."""
     joined = b" ".join(words)
     ends = list(accumulate(map(len, words), lambda a, n: a + n + 1))
     starts = [0, *[e + 1 for e in ends[: len(ends) - shingle]]]
     pieces = map(joined.__getitem__, map(slice, starts, ends[shingle - 1 :]))
-    hashes = b"".join(map(xxhash.xxh64_digest, pieces, repeat(HASH_SEED)))
+    return b"".join(map(xxhash.xxh64_digest, pieces, repeat(HASH_SEED)))
+
+
+def _bit_counts(words: list[bytes], shingle: int) -> tuple[int, np.ndarray]:
+    hashes = shingle_digests(words, shingle)
     spread = SPREAD[np.frombuffer(hashes, np.uint8).reshape(-1, 8)]
     sums = np.add.reduceat(spread, np.arange(0, len(spread), 255), axis=0)
     return len(spread), sums.view(np.uint8).reshape(-1, 64).sum(0, dtype=np.int64)
