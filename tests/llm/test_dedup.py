@@ -207,6 +207,14 @@ def test_near_copies_are_those_of_the_shingle_sets(spark, monkeypatch):
     assert nearsets.drop_near_copies(df.limit(0)).collect() == []
 
 
+def test_unlike_texts_with_close_fingerprints_stay(spark):
+    """Similarities 0.01 and 0.19, 9 differing bits each."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id IN (718, 7921, 359, 8575)")
+    prints = {r.doc_id: simhash.fingerprint(r.text, 5) for r in docs.collect()}
+    assert (prints[718] ^ prints[7921]).bit_count() == (prints[359] ^ prints[8575]).bit_count() == 9
+    assert corpus_pipeline.without_near_copies(spark, docs, "").count() == 4
+
+
 @pytest.mark.parametrize("local", [0, 20, 500_000])
 def test_components_of_paths_and_stars(spark, monkeypatch, local):
     monkeypatch.setattr(components, "LOCAL_EDGES", local)
