@@ -5,16 +5,18 @@ model has runs of up to five symbols. Its counts are gathered from all trusted d
 the shuffle, and all probabilities come from joins of count tables on runs and their parts, sharded by Spark: for every
 run that occurs in the corpus, seen in training or not, one row with its probability. This table is broadcast in shards
 of bounded size, one pass over the texts for each shard, so texts are not shuffled for scoring. Documents whose perplexity
-is above the quantile of trusted documents of their language, which the model has not seen, are rejected.
+is above the quantile of trusted documents of their language, which the model has not seen, are rejected. Where a
+language has few of these, a limit from their mean and spread takes the quantile's place if it is higher.
 
-Cases: a null or empty text has no symbols, a null perplexity, and is kept; a null language is a language of its own; a
-language without trusted documents takes the quantile over all, and nothing is rejected if there are none at all; keys
-that repeat are trusted if any label says so; labels with null key, or in conflict (a quality 0 beside a 1, or toxic), are
-not trusted; an empty table gives an empty result; other columns pass through.
+Cases: a null or empty text has no symbols, a null perplexity, and is kept; a null language is a language of its own; of
+a language without held-out trusted documents nothing is rejected, nor of any if none has two of them, as no spread is
+known, and the threshold is null; keys that repeat are trusted if any label says so; labels with null key, or in conflict
+(a quality 0 beside a 1, or toxic), are not trusted; an empty table gives an empty result; other columns pass through.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,8 @@ MAX_KEYS = 8_000_000  # trusted keys in a broadcast: 64 MB
 HELD_OUT = 8  # one trusted document in so many is kept from the counts and sets the thresholds
 MAX_LANGUAGES = 10_000
 QUANTILE = 0.995
+ENOUGH = 1000  # held-out documents of a language whose quantile is taken as it is
+PRIOR = 10  # documents that the spread within all languages counts for
 ACCURACY = 100_000  # of percentile_approx: rank error 1 / ACCURACY
 
 
@@ -251,24 +255,49 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     return QualityModel(broadcasts)
 
 
-def thresholds(scored: DataFrame, labels: DataFrame, quantile: float, key: str, lang: str) -> tuple[dict, float | None]:
-    """Threshold by language of the held-out trusted documents, and the one over all of them."""
-    held = trusted_keys(labels, key).where("_held")
-    rows = scored.join(held, F.col(key) == F.col("_key"), "left_semi").where("perplexity IS NOT NULL")
-    cut = F.percentile_approx("perplexity", quantile, ACCURACY).alias("threshold")
-    own = bounded_rows(rows.groupBy(F.col(lang).alias("lang")).agg(cut), MAX_LANGUAGES, "languages")
-    return {r["lang"]: r["threshold"] for r in own}, rows.agg(cut).first()["threshold"]
+def student_quantile(quantile: float, freedom: float) -> float:
+    """Quantile above a half of Student's distribution; the tangent of an angle whose density is a power of the cosine."""
+    angles = (np.arange(1 << 18) + 0.5) * (np.pi / 2 / (1 << 18))
+    shares = np.cumsum(np.cos(angles) ** (freedom - 1))
+    return math.sqrt(freedom) * math.tan(angles[np.searchsorted(shares, (2 * quantile - 1) * shares[-1])])
+
 
+def thresholds(scored: DataFrame, labels: DataFrame, quantile: float, key: str, lang: str) -> dict:
+    """Threshold by language of the held-out trusted documents.
 
-def classify(scored: DataFrame, limits: tuple[dict, float | None], lang: str = "lang") -> DataFrame:
+    Below ENOUGH documents the quantile is little more than their maximum, which an unseen document passes far too often.
+    There the threshold is not below the limit for one more document that the mean and spread of logarithms give, the
+    spread shrunk towards that within all languages.
+    """
+    held = trusted_keys(labels, key).where("_held")
+    rows = scored.join(held, F.col(key) == F.col("_key"), "left_semi").where("perplexity IS NOT NULL")
+    log = F.log("perplexity")
+    own = rows.groupBy(F.col(lang).alias("lang")).agg(
+        F.percentile_approx("perplexity", quantile, ACCURACY).alias("threshold"),
+        F.count(F.lit(1)).alias("n"), F.avg(log).alias("mean"), F.var_pop(log).alias("spread"),
+    )
+    own = bounded_rows(own, MAX_LANGUAGES, "languages")
+    freedom = sum(r["n"] - 1 for r in own)
+    pooled = sum(r["n"] * r["spread"] for r in own) / freedom if freedom else 0.0
+    prior, found = min(PRIOR, freedom), {}
+    for r in own:
+        if r["n"] >= ENOUGH:
+            found[r["lang"]] = r["threshold"]
+        elif freedom:
+            free = r["n"] - 1 + prior
+            deviation = math.sqrt((r["n"] * r["spread"] + prior * pooled) / free * (1 + 1 / r["n"]))
+            limit = math.exp(min(700.0, r["mean"] + student_quantile(quantile, free) * deviation))
+            found[r["lang"]] = max(r["threshold"], limit)
+    return found
+
+
+def classify(scored: DataFrame, limits: dict, lang: str = "lang") -> DataFrame:
     """``scored`` with ``threshold`` and ``kept``."""
-    own, overall = limits
     kind = scored.schema[lang].dataType.simpleString()
-    table = scored.sparkSession.createDataFrame(list(own.items()), f"_lang {kind}, threshold double")
+    table = scored.sparkSession.createDataFrame(list(limits.items()), f"_lang {kind}, threshold double")
     # A row for each language, MAX_LANGUAGES at most.
     rows = scored.drop("threshold", "kept").join(F.broadcast(table), F.col(lang).eqNullSafe(F.col("_lang")), "left")
-    rows = rows.drop("_lang").withColumn("threshold", F.coalesce("threshold", F.lit(overall).cast("double")))
-    return rows.withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
+    return rows.drop("_lang").withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
 
 
 def judge(

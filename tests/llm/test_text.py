@@ -260,6 +260,27 @@ def test_quality_shards_and_empty(spark, monkeypatch):
     assert all(r.kept for r in perplexity.judge(docs.limit(20), labels.limit(0)).collect())
 
 
+def test_thresholds_of_few_documents(spark):
+    """Of unseen documents like the trusted ones few are rejected, however few trusted ones are held out."""
+    labels = spark.range(60_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    held = [r._key for r in perplexity.trusted_keys(labels, "doc_id").where("_held").collect()]
+    rng = np.random.default_rng(8)
+    sizes = {f"{n}-{i}": n for n in (1, 2, 4, 40) for i in range(30)}
+    centres = {k: rng.normal(3, 1) for k in sizes}
+    draw = lambda k: float(np.exp(centres[k] + 0.2 * rng.normal()))
+    names = [k for k, n in sizes.items() for _ in range(n)]
+    rows = [(i, k, draw(k)) for i, k in zip(held, names, strict=False)]
+    assert len(rows) == len(names)
+    scored = spark.createDataFrame(rows, "doc_id long, lang string, perplexity double")
+    limits = perplexity.thresholds(scored, labels, 0.995, "doc_id", "lang")
+    for n in (1, 2, 4, 40):
+        gone = [draw(k) > limits[k] for k in sizes if sizes[k] == n for _ in range(200)]
+        assert np.mean(gone) < 0.015
+    unknown = spark.createDataFrame([(1, "unlabelled", 1e6), (2, "2-0", 1e6)], scored.schema)
+    judged = {r.doc_id: (r.threshold is None, r.kept) for r in perplexity.classify(unknown, limits).collect()}
+    assert judged == {1: (True, True), 2: (False, False)}
+
+
 def test_word_counts(spark):
     texts = ["a b", "", None, " \n\t", "\x1ca\x0bb\u00a0c"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
