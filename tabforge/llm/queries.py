@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabforge.llm import bitslice, exactdedup, langid, mixing, packing, perplexity, runindex, simhash, tokencount, urlfilter
+from tabforge.llm import audit, bitslice, exactdedup, htmltext, langid, mixing, packing, perplexity
+from tabforge.llm import resample, runindex, simhash, tokencount, urlfilter
 from tabforge.llm.registry import QUERIES, SQL, query, table
 from tabforge.llm.words import one_space
 
@@ -156,3 +157,112 @@ def op8_quality_classifier(spark, folder):
 def op10_repeated_passages(spark, folder):
     """What is left of every document without the bytes of 50-byte strings that an earlier one has."""
     return runindex.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+RESAMPLE_SQL = r"""
+WITH crc AS MATERIALIZED (
+  SELECT list(list_reduce(list_concat([i], [0 FOR _ IN range(8)]),
+              lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+texts AS (
+  SELECT 'd' AS side, doc_id, text FROM documents UNION ALL SELECT 't', row_number() OVER (), text FROM benchmark),
+words AS (
+  SELECT side, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+grams AS (
+  SELECT side, doc_id, unnest(list_concat(w, list_concat(
+    [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))],
+    [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]))) AS g FROM words),
+counted AS (SELECT side, doc_id, g, count(*) AS n FROM grams GROUP BY ALL),
+hexed AS (SELECT g, hex(encode(g)) AS h FROM (SELECT DISTINCT g FROM counted)),
+hashed AS (
+  SELECT g, xor(list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)], [CAST('0x' || h[2 * i + 1 : 2 * i + 2] AS BIGINT) FOR i IN range(len(h) // 2)]),
+    lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) % 10000 AS bucket
+  FROM hexed, crc),
+features AS (SELECT side, doc_id, bucket, n FROM counted JOIN hashed USING (g)),
+tally AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 't'), 0) AS t
+  FROM features GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000)
+                                      / CAST((s + 1) * (sum(t) OVER () + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM tally),
+weights AS (
+  SELECT doc_id, sum(n) AS n_features, sum(n * gain) AS weight
+  FROM features JOIN gains USING (bucket) WHERE side = 'd' GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         len(w) >= 20 AS enough,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln(
+           (CAST('0x' || substr(sha256('42:' || doc_id), 1, 8) AS BIGINT) + 0.5) / 4294967296.0))) AS BIGINT) AS score
+  FROM words LEFT JOIN weights USING (doc_id) WHERE side = 'd'),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY enough ORDER BY score DESC, doc_id) AS n,
+         5 * count(*) OVER (PARTITION BY enough) // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN enough AND n <= drawn THEN n END AS rank FROM ranked"""
+
+
+@query("op11_resample", RESAMPLE_SQL)
+def op11_resample(spark, folder):
+    """Every document's weight towards the benchmark texts, and its rank in the draw of a twentieth."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return resample.resample(documents, table(spark, folder, "benchmark").select("text"), percent=5, least_words=20)
+
+
+AUDIT_SQL = """
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+marks AS (
+  SELECT doc_id, part,
+         CAST(len(w) < 200 AS INT) AS a,
+         CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT) AS b,
+         CAST(100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 3 * length(text) AS INT) AS c,
+         CAST(regexp_matches(text, '[#$%&*|]') AS INT) AS d,
+         CAST(doc_id > min(doc_id) OVER (PARTITION BY text) AS INT) AS e
+  FROM texts),
+once AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS mask, count(*) AS n,
+         count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM marks LEFT JOIN once USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(range(5)) AS i),
+orders AS (
+  SELECT [p.i, q.i, r.i, s.i, t.i] AS o FROM letters p, letters q, letters r, letters s, letters t
+  WHERE len(list_distinct([p.i, q.i, r.i, s.i, t.i])) = 5),
+steps AS (
+  SELECT list_aggregate([substr('ABCDE', CAST(x + 1 AS INT), 1) FOR x IN o], 'string_agg', '') AS filter_order,
+         CAST(k AS INT) AS step, 1 << o[k] AS bit,
+         CAST(coalesce(list_sum([1 << x FOR x IN o[1 : k - 1]]), 0) AS BIGINT) AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS k)),
+parts AS (SELECT DISTINCT part FROM masks),
+removed AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS removed,
+         coalesce(sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS toxic_lost
+  FROM masks, steps GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM removed"""
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def op12_filter_audit(spark, folder):
+    """What each of five filters removes at each step of all their orders, for every language."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return audit.audit(documents, table(spark, folder, "labels").select("doc_id", "quality", "toxic"))
+
+
+@query("op13_main_text")
+def op13_main_text(spark, folder):
+    """The article of every page."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return htmltext.extract_pages(pages).withColumn("n_chars", F.length("text").cast("long"))
