@@ -26,17 +26,17 @@ rounds AS (
   UNION ALL
   SELECT i + 1, source, total, cap, weight,
          CASE WHEN fixed IS NOT NULL THEN fixed
-              WHEN weight * (sum(total) OVER () - coalesce(sum(fixed) OVER (), 0))
-                   / sum(CASE WHEN fixed IS NULL THEN weight END) OVER () >= cap THEN cap END
+              WHEN weight * ((sum(total) OVER () - coalesce(sum(fixed) OVER (), 0))
+                             / sum(CASE WHEN fixed IS NULL THEN weight END) OVER ()) >= cap THEN cap END
   FROM rounds WHERE i < (SELECT count(*) FROM sources)),
 final AS (SELECT * FROM rounds WHERE i = (SELECT max(i) FROM rounds)),
 targets AS (
   SELECT source, total,
-         coalesce(fixed, weight * (sum(total) OVER () - coalesce(sum(fixed) OVER (), 0))
-                         / sum(CASE WHEN fixed IS NULL THEN weight END) OVER ()) AS target
+         coalesce(fixed, weight * ((sum(total) OVER () - coalesce(sum(fixed) OVER (), 0))
+                                   / sum(CASE WHEN fixed IS NULL THEN weight END) OVER ())) AS target
   FROM final),
 rates AS (SELECT *, CASE WHEN total > 0 THEN target / total ELSE 0 END AS rate FROM targets)
-SELECT d.doc_id, d.size, CAST(r.total AS BIGINT) AS source_size, round(r.target, 3) AS target,
+SELECT d.doc_id, d.size, CAST(r.total AS BIGINT) AS source_size, r.target AS target,
        d.size * CAST(least(floor(r.rate) + CASE WHEN
          CAST(CAST('0x' || substr(md5(concat_ws(':', CAST(d.doc_id AS VARCHAR), '42')), 1, 13) AS BIGINT) AS DOUBLE)
            / 4503599627370496.0 < r.rate - floor(r.rate) THEN 1 ELSE 0 END, 3) AS BIGINT) AS taken
@@ -48,7 +48,7 @@ def op3_mix_sources(spark, folder):
     """Words each document gives to a mix of sources weighing 1, 2, 3 in turn."""
     plan = mixing.plan_mix(table(spark, folder, "documents").select("doc_id", "text", "source"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
-    return plan.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), taken)
+    return plan.select("doc_id", "size", "source_size", "target", taken)
 
 
 ALLOW = ["com/", "www.example.com/en/"]

@@ -19,7 +19,8 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -87,20 +88,20 @@ class Windows:
         self.words += words
         self.known.update(zip(stretches, range(len(self.known), len(self.known) + len(stretches))))
 
-    def pieces(self, text: str) -> Iterator[str]:
-        """The text cut between words into pieces of about PIECE_CHARS characters."""
-        at = 0
-        while len(text) - at > PIECE_CHARS:
-            cut = self.between.search(text, at + PIECE_CHARS)
-            if cut is None:
-                break
-            yield text[at : cut.end()]
-            at = cut.end()
-        yield text[at:]
-
-    def _numbers(self, piece: str) -> np.ndarray:
-        """Numbers of the piece's words."""
-        stretches = piece.split(" ")
+    def pieces(self, text: str) -> Iterator[tuple[str, int]]:
+        """The text cut between words into pieces of about PIECE_CHARS characters; each but the first begins with the
+        last words of the one before, whose number goes with it."""
+        at, tail = 0, []
+        while at < len(text) or not at:
+            cut = self.between.search(text, at + PIECE_CHARS) if len(text) - at > PIECE_CHARS else None
+            end = cut.end() if cut else len(text)
+            piece = " ".join([*tail, text[at:end]])
+            yield piece, len(tail)
+            tail = [w for w in self.between.split(piece) if w][1 - self.longest :] if cut and self.longest > 1 else []
+            at = max(end, 1)
+
+    def _numbers(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words, and how many each stretch has."""
         try:
             at = np.fromiter(map(self.known.__getitem__, stretches), np.int64, len(stretches))
         except KeyError:
@@ -108,7 +109,7 @@ class Windows:
             at = np.fromiter(map(self.known.__getitem__, stretches), np.int64, len(stretches))
         first, count = self.spans[:, at]
         ends = np.cumsum(count)
-        return np.repeat(first - (ends - count), count) + np.arange(ends[-1])
+        return np.repeat(first - (ends - count), count) + np.arange(ends[-1]), count
 
     def _after(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """CRC of what ``before`` stands for, a space and the word."""
@@ -120,19 +121,36 @@ class Windows:
             out[i] = zlib.crc32(b" " + self.words[ids[i]], int(before[i]))
         return out
 
-    def of(self, text: str | None) -> Iterator[tuple[int, np.ndarray]]:
-        """For each piece: its number of words, and the buckets of the windows that end in it."""
-        tail = []  # the last words before the piece
-        for piece in self.pieces((text or "").encode().lower().decode()):
-            if len(self.known) > KNOWN_STRETCHES:
-                self._forget()
-            ids = self._numbers(" ".join([*tail, piece]))
-            run, found = self.hashes[0, ids], []
-            for n in range(1, self.longest + 1):
-                run = self._after(run[:-1], ids[n - 1 :]) if n > 1 and len(run) else run
-                found.append(run[max(0, len(tail) - n + 1) :])
-            yield len(ids) - len(tail), np.concatenate(found) % np.uint32(self.buckets)
-            tail = [self.words[i].decode() for i in ids[max(0, len(ids) - self.longest + 1) :]]
+    def of(self, texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Some pieces at a time: the text that each word is from, and text and bucket of each window."""
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            for piece, again in self.pieces((text or "").encode().lower().decode()):
+                held.append((i, piece.split(" "), again))
+                size += len(piece)
+                if size >= PIECE_CHARS:
+                    yield self._windows(held)
+                    held, size = [], 0
+        if held:
+            yield self._windows(held)
+
+    def _windows(self, held: list[tuple[int, list[str], int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if len(self.known) > KNOWN_STRETCHES:
+            self._forget()
+        owners, stretches, again = zip(*held)
+        ids, count = self._numbers(list(chain.from_iterable(stretches)))
+        piece = np.repeat(np.repeat(np.arange(len(held)), list(map(len, stretches))), count)
+        words = np.bincount(piece, minlength=len(held))
+        place = np.arange(len(ids)) - np.repeat(np.cumsum(words) - words, words)
+        owner, new = np.array(owners)[piece], place >= np.array(again)[piece]
+        run, texts, buckets = self.hashes[0, ids], [], []
+        for n in range(1, self.longest + 1):
+            if n > 1:
+                run = self._after(run[:-1], ids[n - 1 :])
+            whole = (new & (place >= n - 1))[n - 1 :]
+            texts.append(owner[n - 1 :][whole])
+            buckets.append(run[whole] % np.uint32(self.buckets))
+        return owner[new], np.concatenate(texts), np.concatenate(buckets)
 
 
 def _with(array: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
@@ -152,9 +170,8 @@ def histogram(df: DataFrame, text: str, buckets: int, longest: int) -> np.ndarra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, counts = Windows(buckets, longest), np.zeros(buckets, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                for _, found in windows.of(value.as_py()):
-                    counts += np.bincount(found, minlength=buckets)
+            for _, _, found in windows.of(batch.column(0).to_pylist()):
+                counts += np.bincount(found, minlength=buckets)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["bucket", "n"])
 
@@ -183,10 +200,11 @@ def _weighed(df: DataFrame, text: str, gain: np.ndarray, longest: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(len(gain), longest)
         for batch in batches:
-            sums = np.zeros((3, batch.num_rows), np.int64)
-            for i, value in enumerate(batch.column(0)):
-                for words, found in windows.of(value.as_py()):
-                    sums[:, i] += words, len(found), gain[found].sum()
+            n = batch.num_rows
+            sums = np.zeros((3, n), np.int64)
+            for words, texts, found in windows.of(batch.column(0).to_pylist()):
+                for i, (at, weight) in enumerate([(words, None), (texts, None), (texts, gain[found])]):
+                    sums[i] += np.bincount(at, weight, n).astype(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *map(pa.array, sums)], names=schema.names)
 
     return df.select(f"`{text}`", *[f"`{f.name}`" for f in keep]).mapInArrow(run, schema)

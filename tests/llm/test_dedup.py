@@ -9,7 +9,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from tabforge.llm import components, exactdedup, nearsets, runindex, simhash
+from tabforge.llm import components, exactdedup, runindex, simhash
 
 DOCS = "doc_id long, text string, lang string, kept string, size int"
 
@@ -153,78 +153,15 @@ def test_near_odd_keys(spark):
     assert simhash.near_duplicates(empty).collect() == [] and simhash.drop_near_duplicates(empty).collect() == []
 
 
-def slow_set(text, k):
-    words = re.sub("[A-Z]", lambda m: m[0].lower(), norm(text)).strip(" ").split(" ")
-    words = [w for w in words if w]
-    return frozenset(" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))) if words else frozenset()
-
-
-def test_near_copies_are_those_of_the_shingle_sets(spark, monkeypatch):
-    """The pipeline's stage against all pairs: similarities around 0.8, a common line, a group of copies of one text."""
-    monkeypatch.setattr(nearsets, "SAMPLE_ROWS", 100)
-    rnd = random.Random(11)
-    docs = [(d[0] if d[0] is not None else 1000 + n, d[1]) for n, d in enumerate(odd_docs())]
-    line = [f"line{i}" for i in range(40)]
-    for i in range(40):
-        base = rnd.choices(line, k=30) + line + [f"own{rnd.randrange(10**6)}" for _ in range(rnd.randint(5, 200))]
-        for j in range(4):
-            words = list(base)
-            for _ in range(rnd.randint(0, len(base) // 25)):
-                words[rnd.randrange(len(words))] = f"e{rnd.randrange(10**6)}"
-            docs.append((3000 + 10 * i + j, " ".join(words)))
-    base = [f"hot{i}" for i in range(200)]
-    for i in range(80):
-        words = list(base)
-        words[rnd.randrange(200)] = f"W{i}"
-        words[rnd.randrange(200)] = f"w{i}"
-        docs.append((5000 + i, " ".join(words)))
-    docs = list(dict(docs).items())
-    sets = [(i, slow_set(t, 5)) for i, t in docs]
-    root = {i: i for i, _ in sets}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    apart = 0
-    for n, (i, a) in enumerate(sets):
-        for j, b in sets[:n]:
-            if a == b or 5 * len(a & b) >= 4 * len(a | b):
-                x, y = find(i), find(j)
-                root[max(x, y)] = min(x, y)
-            else:
-                apart += 2 * len(a & b) > len(a | b)
-    assert apart > 50  # pairs between 0.5 and 0.8
-    want = {i: find(i) for i in root}
-    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    found = {r.doc_id: r.component_id for r in nearsets.near_copies(df).collect()}
-    assert found == want
+def test_near_dedup_stage(spark):
+    """The pipeline's stage keeps one document of each class of linked fingerprints, whole and with all columns."""
+    docs = [(i, t) for i, t in dict((d[0], d[1]) for d in odd_docs()).items() if i is not None]
+    prints = {i: slow_print(t, 4) for i, t in docs}
+    want = components_of(prints, 4)
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, source string").repartition(4)
     left = corpus_pipeline.without_near_copies(spark, df, "")
-    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == sorted(set(want.values()))
-    monkeypatch.setattr(nearsets, "MAX_WANTED", 0)
-    assert {r.doc_id: r.component_id for r in nearsets.near_copies(df).collect()} == want
-    assert nearsets.drop_near_copies(df.limit(0)).collect() == []
-
-
-def test_unlike_texts_with_close_fingerprints_stay(spark):
-    """Similarities 0.01 and 0.19, 9 differing bits each."""
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id IN (718, 7921, 359, 8575)")
-    prints = {r.doc_id: simhash.fingerprint(r.text, 5) for r in docs.collect()}
-    assert (prints[718] ^ prints[7921]).bit_count() == (prints[359] ^ prints[8575]).bit_count() == 9
-    assert corpus_pipeline.without_near_copies(spark, docs, "").count() == 4
-
-
-@pytest.mark.parametrize("local", [0, 20, 500_000])
-def test_components_of_paths_and_stars(spark, monkeypatch, local):
-    monkeypatch.setattr(components, "LOCAL_EDGES", local)
-    edges = [(i, i + 1) for i in range(200)] + [(1000, 1001 + i) for i in range(300)] + [(7000, 7000)]
-    found = components.connected(spark.createDataFrame(edges * 2, "a long, b long").repartition(4))
-    groups = {}
-    for r in found.collect():
-        groups.setdefault(r.root, set()).add(r.node)
-    assert sorted(map(len, groups.values())) == [201, 301]
-    assert components.connected(spark.createDataFrame([(1, 1)], "a long, b long")) is None
+    assert left.columns == df.columns
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted((i, t) for i, t in docs if want[i] == i)
 
 
 def slow_removal(docs, size):

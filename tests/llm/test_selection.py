@@ -56,12 +56,13 @@ def test_windows(monkeypatch, piece, known):
     monkeypatch.setattr(resample, "PIECE_CHARS", piece)
     monkeypatch.setattr(resample, "KNOWN_STRETCHES", known)
     windows = resample.Windows()
-    for text in [*odd_texts(300), None, "", "Ab " * 5000]:
-        words, counts = 0, Counter()
-        for n, found in windows.of(text):
-            words += n
-            counts.update(found.tolist())
-        assert (words, counts) == grams(text)
+    texts = [*odd_texts(300), None, "", "Ab " * 5000, " ", "a", "x" * 5000]
+    words, counts = Counter(), Counter()
+    for at, owners, found in windows.of(texts):
+        words.update(at.tolist())
+        counts.update(zip(owners.tolist(), found.tolist()))
+    for i, text in enumerate(texts):
+        assert (words[i], Counter({b: n for (t, b), n in counts.items() if t == i})) == grams(text)
 
 
 def test_resample(spark):
