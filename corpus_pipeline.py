@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import exactdedup, mixing, nearsets, packing, perplexity
+from tabforge.llm import exactdedup, mixing, packing, perplexity, simhash
 from tabforge.runtime import new_path
 
 ORACLE_SQL = None
@@ -31,8 +31,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: sets of 5-word shingles with a Jaccard similarity of 0.8 or more."""
-    return nearsets.drop_near_copies(docs, shingle=5)
+    """One document of each group that fingerprints of 4-word shingles within 4 differing bits link."""
+    return simhash.drop_near_duplicates(docs, shingle=4, distance=4)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
