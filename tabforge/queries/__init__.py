@@ -18,6 +18,7 @@ from tabforge.queries import (  # noqa: E402,F401
     selecting,
     sources,
     splitting,
+    trees,
 )
 
 __all__ = ["QUERIES", "SQL"]
