@@ -68,6 +68,14 @@ class GaussianNB(ColumnEstimator):
         rows = class_statistics(df, cols, [label])
         return GaussianNBModel.of(self, nb_state(rows, cols, label, self.getOrDefault("smoothing")))
 
+    def state_of(self, moments: list[tuple]) -> dict:
+        """Fitted numbers from each class's (label, rows, mean, population variances)."""
+        rows = [
+            {"_label": k, "n": n, **{f"m_{i}": float(m) for i, m in enumerate(mean)}, **{f"v_{i}": float(v) for i, v in enumerate(var)}}
+            for k, n, mean, var in moments
+        ]
+        return nb_state(rows, range(len(moments[0][2])), "_label", self.getOrDefault("smoothing"))
+
 
 def class_statistics(df: DataFrame, cols, by, max_rows: int = 100_000) -> list:
     """Per group: rows, and per column mean and variance, over rows without a missing cell. Pre-added in each task."""

@@ -119,22 +119,22 @@ class Lda(ColumnEstimator):
             self._set(inputCols=list(inputCols))
 
     def _fit(self, df: DataFrame) -> LdaModel:
-        moments = class_moments(df, self.cols(), self.label())
+        return LdaModel.of(self, self.state_of(class_moments(df, self.cols(), self.label())))
+
+    def state_of(self, moments: list[tuple]) -> dict:
+        """Fitted numbers from each class's (label, rows, mean, population covariance)."""
         n = sum(m[1] for m in moments)
         centre = sum(m[1] * m[2] for m in moments) / n
         pooled = sum(m[1] * m[3] for m in moments) / max(n - len(moments), 1)
         inv = np.linalg.pinv(pooled, hermitian=True)
         coef = [inv @ (m[2] - centre) for m in moments]
         const = [float(np.log(m[1] / n) - 0.5 * (m[2] - centre) @ w) for m, w in zip(moments, coef)]
-        return LdaModel.of(
-            self,
-            {
-                "labels": [m[0] for m in moments],
-                "coef": [[float(x) for x in w] for w in coef],
-                "const": const,
-                "centre": [float(x) for x in centre],
-            },
-        )
+        return {
+            "labels": [m[0] for m in moments],
+            "coef": [[float(x) for x in w] for w in coef],
+            "const": const,
+            "centre": [float(x) for x in centre],
+        }
 
 
 class QdaModel(ColumnModel):
@@ -186,8 +186,11 @@ class Qda(ColumnEstimator):
             self._set(inputCols=list(inputCols))
 
     def _fit(self, df: DataFrame) -> QdaModel:
-        moments = class_moments(df, self.cols(), self.label())
-        total, d = sum(m[1] for m in moments), len(self.cols())
+        return QdaModel.of(self, self.state_of(class_moments(df, self.cols(), self.label())))
+
+    def state_of(self, moments: list[tuple]) -> dict:
+        """Fitted numbers from each class's (label, rows, mean, population covariance)."""
+        total, d = sum(m[1] for m in moments), len(moments[0][2])
         state = {"labels": [], "const": [], "mean": [], "root": [], "ridged": []}
         for label, n, mean, cov in moments:
             sigma = cov * n / max(n - 1, 1)
@@ -201,4 +204,4 @@ class Qda(ColumnEstimator):
             state["const"].append(float(np.log(n / total) - 0.5 * np.log(values).sum()))
             state["mean"].append([float(x) for x in mean])
             state["root"].append([[float(x) for x in r] for r in root])
-        return QdaModel.of(self, state)
+        return state

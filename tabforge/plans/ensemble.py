@@ -13,11 +13,16 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.models.bayes import GaussianNB
+from tabforge.models.discriminant import Qda
 from tabforge.models.learner import label_number
 from tabforge.models.saving import SavedInParts
 from tabforge.operators.cols import low_variance_cols
 from tabforge.operators.profile import classes_of
+from tabforge.models.moments import class_shares, fit_by_group, group_table, is_sum, with_group_models
+from tabforge.operators.ranking import hashed_position
 from tabforge.operators.split import hash_sample, stratified_split
+from tabforge.plans.folds import FoldModels, all_sums
 from tabforge.plans.tune import better, folded, score
 from tabforge.runtime import cut_lineage, in_parallel
 
@@ -149,8 +154,12 @@ class Blend(_Group):
 def oof_table(bases: Sequence[Estimator], data: DataFrame, label: str, k: int, labels: Sequence, use_proba: bool = False):
     """Outputs of models that never saw the row, for every row: table, output columns, models per fold.
 
-    ``data`` holds the fold number in ``_fold``.
+    ``data`` holds the fold number in ``_fold``. Bases that are sums need one pass for the fits and are one projection.
     """
+    if all_sums(bases):
+        sums = FoldModels(bases, data, label, k)
+        wide, names = _sum_outputs(sums, data, labels, use_proba)
+        return wide, names, [sums.models(f) for f in range(k)]
     tasks = [(i, b) for i in range(k) for b in bases]
     fitted = in_parallel(lambda t: t[1].fit(data.where(F.col("_fold") != t[0])), tasks)
     parts, per_fold, names = [], [], []
@@ -162,6 +171,24 @@ def oof_table(bases: Sequence[Estimator], data: DataFrame, label: str, k: int, l
     return reduce(DataFrame.unionByName, parts), names, per_fold
 
 
+def _sum_outputs(sums: FoldModels, data: DataFrame, labels: Sequence, use_proba: bool) -> tuple[DataFrame, list[str]]:
+    """Outputs of each row's own fold's models, named as ``_apply`` names them."""
+    wide, made, spare = sums.scored(data, labels), {}, []
+    for i in range(len(sums.ests)):
+        if use_proba:
+            made |= {f"_b{i}_{j}": F.get(f"_p{i}_prob", F.lit(j)) for j in range(len(labels))}
+        else:
+            made[f"_b{i}"] = label_number(f"_p{i}", labels)
+        spare += [f"_p{i}", f"_p{i}_prob"]
+    return wide.withColumns(made).drop(*spare), list(made)
+
+
+def _dealt(df: DataFrame, key: str, label: str, k: int, seed: int, stratified: bool) -> DataFrame:
+    """``df`` with ``_fold``. Folds that count rows are dealt once and written; folds by hash are a projection."""
+    data = folded(df, key, label, k, seed, stratified)
+    return cut_lineage(data) if stratified else data
+
+
 class Stack(_Group):
     """The meta model learns from out-of-fold outputs of the bases; the bases are then fitted on all rows.
 
@@ -176,7 +203,12 @@ class Stack(_Group):
 
     def _fit(self, df: DataFrame) -> StackedModel:
         labels = classes_of(df, self.label)
-        data = folded(df, self.key, self.label, self.k, self.seed, self.stratified).persist()
+        data = _dealt(df, self.key, self.label, self.k, self.seed, self.stratified)
+        if all_sums(self.bases):
+            sums = FoldModels(self.bases, data, self.label, self.k)
+            wide, names = _sum_outputs(sums, data, labels, self.use_proba)
+            return StackedModel(sums.models(), self._fit_meta(wide, names), labels, self.use_proba)
+        data = data.persist()
         try:
             data.count()  # filled once, before several fits ask for it at the same time
             wide, names, _ = oof_table(self.bases, data, self.label, self.k, labels, self.use_proba)
@@ -194,12 +226,15 @@ def oof(est: Estimator, train: DataFrame, test: DataFrame, key: str, label: str,
     ``stratified=False`` takes folds straight from the key hash, which moves no row.
     """
     labels = classes_of(train, label)
-    data = folded(train, key, label, k, seed, stratified).persist()
+    data = _dealt(train, key, label, k, seed, stratified)
+    kept = None if is_sum(est) else data.persist()
     try:
-        data.count()  # filled once, before several fits ask for it at the same time
+        if kept is not None:
+            kept.count()  # filled once, before several fits ask for it at the same time
         wide, names, per_fold = oof_table([est], data, label, k, labels, use_proba)
     finally:
-        data.unpersist()
+        if kept is not None:
+            kept.unpersist()
     models = [m[0] for m in per_fold]
     tested, many = _apply(models, test, labels, use_proba)
     if use_proba:
@@ -230,11 +265,15 @@ def _unknown(df: DataFrame, group: str, known: Sequence) -> DataFrame:
 
 
 def per_group_fit(make: Callable[[list[str]], Estimator], df: DataFrame, group: str, cols: Sequence[str],
-                  min_variance: float | None = None, max_groups: int = 100) -> PerGroupModel:
+                  min_variance: float | None = None, max_groups: int = 100) -> Model:
     """One model per value of ``group``, each on the columns that vary within the group.
 
-    The groups are few (checked); every fit and every ``transform`` runs on a filter of the table.
+    Naive Bayes and quadratic discriminants: a table of models for any number of groups, one scan for the fit and one to
+    score. Other estimators: the groups are few (checked), and every fit and ``transform`` runs on a filter of the table.
     """
+    est = make(list(cols))
+    if by_table(est):
+        return fit_by_group(est, df, group, min_variance)
     groups = classes_of(df, group, max_groups)
 
     def fit(g):
@@ -244,6 +283,11 @@ def per_group_fit(make: Callable[[list[str]], Estimator], df: DataFrame, group:
     return PerGroupModel(group, dict(zip(groups, in_parallel(fit, groups))))
 
 
+def by_table(est) -> bool:
+    """Whether models of an estimator come as one table for all groups."""
+    return isinstance(est, (GaussianNB, Qda))
+
+
 def _varying(rows: DataFrame, cols: Sequence[str], min_variance: float | None) -> list[str]:
     dull = set(low_variance_cols(rows, cols, min_variance)) if min_variance is not None else set()
     kept = [c for c in cols if c not in dull]
@@ -258,9 +302,12 @@ def per_group_oof(make: Callable[[list[str]], Estimator], train: DataFrame, test
     """Per group: out-of-fold probabilities of the train rows, mean of the k models' for the test rows.
 
     Columns ``p_<label>`` for every label of the table; a class that a group does not have gets 0 there. Rows of unknown
-    groups, or without a group, get nulls.
+    groups, or without a group, get nulls. Naive Bayes and quadratic discriminants take any number of groups.
     """
     labels = classes_of(train, label)
+    est = make(list(cols))
+    if by_table(est):
+        return _table_oof(est, train, test, group, key, label, k, labels, min_variance, seed)
     groups = classes_of(train, group, max_groups)
     nulls = [F.lit(None).cast("double").alias(f"p_{x}") for x in labels]
     inner = [_unknown(train, group, groups).select(key, label, *nulls)]
@@ -276,6 +323,33 @@ def per_group_oof(make: Callable[[list[str]], Estimator], train: DataFrame, test
     return reduce(DataFrame.unionByName, inner), reduce(DataFrame.unionByName, outer)
 
 
+def _table_oof(est, train, test, group, key, label, k, labels, min_variance, seed) -> tuple[DataFrame, DataFrame]:
+    """Folds are dealt within (group, class) and written once; then one aggregate, one join for either table."""
+    dealt = hashed_position(train.where(F.col(group).isNotNull()), key, seed, by=[group, label], out="_pos")
+    dealt = cut_lineage(dealt.withColumn("_fold", F.pmod("_pos", F.lit(k)).cast("int")).drop("_pos"))
+    table = group_table(est, dealt, group, min_variance, "_fold", k)
+    pairs, cols = isinstance(est, Qda), est.cols()
+
+    def outputs(model: Column) -> Column:
+        shares = class_shares(model, F.col("_used"), cols, pairs)
+        at = [F.array_position(model["labels"], F.lit(x)) for x in labels]
+        own = F.get(F.transform(F.array(shares), lambda s: F.array(*[F.when(a > 0, F.get(s, a.cast("int") - 1)).otherwise(0.0) for a in at])), 0)
+        return F.when(model.isNotNull() & shares.isNotNull(), own)
+
+    seen = with_group_models(dealt, table, group).withColumn("_out", outputs(F.get("_models", F.col("_fold"))))
+    every = F.filter(F.transform("_models", outputs), lambda o: o.isNotNull())
+    asked = with_group_models(test, table, group).withColumn("_all", every)
+
+    def mean_of(j: int) -> Column:
+        return F.aggregate("_all", F.lit(0.0), lambda a, o: a + F.get(o, j)) / F.nullif(F.size("_all"), F.lit(0))
+
+    mean = [mean_of(j) for j in range(len(labels))]
+    inner = seen.select(key, label, *[F.get("_out", j).alias(f"p_{x}") for j, x in enumerate(labels)])
+    rest = train.where(F.col(group).isNull() | F.col(label).isNull())
+    nulls = rest.select(key, label, *[F.lit(None).cast("double").alias(f"p_{x}") for x in labels])
+    return inner.unionByName(nulls), asked.select(key, *[m.alias(f"p_{x}") for m, x in zip(mean, labels)])
+
+
 def pseudo_union(train: DataFrame, labelled: DataFrame, key: str, frac: float, seed: int = 0, label: str = "label") -> DataFrame:
     """Train rows and a share of the self-labelled rows, told apart by ``is_pseudo``."""
     extra = hash_sample(labelled.drop(label).withColumnRenamed("prediction", label), key, frac, seed)

@@ -20,8 +20,11 @@ from tabforge.operators import metrics as V
 from tabforge.operators.metrics import cv_summary
 from tabforge.operators.profile import classes_of
 from tabforge.operators.split import kfold, stratified_kfold
+from tabforge.plans.folds import FoldModels, all_sums
 from tabforge.runtime import in_parallel
 
+# Metrics that are one aggregate over the scored rows.
+ONE_AGGREGATE = {"accuracy", "error", "mae", "log_loss"}
 # Metrics of which the smaller value is the better one.
 SMALLER_IS_BETTER = {"error", "mae", "log_loss"}
 
@@ -55,22 +58,47 @@ def cv_scores(
     metric: str = "accuracy", seed: int = 0, stratified: bool = True, parallelism: int = 4,
     labels: Sequence | None = None,
 ) -> DataFrame:
-    """Score of every parameter set on every fold: (candidate, fold, score)."""
+    """Score of every parameter set on every fold: (candidate, fold, score).
+
+    Models that are sums need one pass for all fits and one for all scores; others are fitted one by one.
+    """
     data = folded(df, key, label, k, seed, stratified).persist()
+    candidates = [est.copy(dict(params)) for params in grid]
 
     def one(task):
-        (i, params), fold = task
-        model = est.copy(dict(params)).fit(data.where(F.col("_fold") != fold))
+        (i, candidate), fold = task
+        model = candidate.fit(data.where(F.col("_fold") != fold))
         return i, fold, float(score(model.transform(data.where(F.col("_fold") == fold)), metric, label, labels))
 
     try:
         data.count()  # filled once, before several fits ask for it at the same time
-        rows = in_parallel(one, list(product(enumerate(grid), range(k))), parallelism)
+        if all_sums(candidates) and metric in ONE_AGGREGATE:
+            rows = _scores_of_sums(candidates, data, label, k, metric, labels)
+        else:
+            rows = in_parallel(one, list(product(enumerate(candidates), range(k))), parallelism)
     finally:
         data.unpersist()
     return df.sparkSession.createDataFrame(rows, "candidate int, fold int, score double")
 
 
+def _scores_of_sums(candidates: Sequence, data: DataFrame, label: str, k: int, metric: str, labels: Sequence | None) -> list[tuple]:
+    models = FoldModels(candidates, data, label, k)
+    labels = list(labels or sorted({x for s in models.whole for x in s["labels"]}))
+    scores = [_aggregate(metric, label, f"_p{i}", labels).alias(f"s{i}") for i in range(len(candidates))]
+    rows = models.scored(data, labels).groupBy("_fold").agg(*scores).collect()
+    return [(i, r["_fold"], float(r[f"s{i}"])) for i in range(len(candidates)) for r in rows]
+
+
+def _aggregate(metric: str, label: str, pred: str, labels: Sequence):
+    if metric in ("accuracy", "error"):
+        share = V.accuracy_of(label, pred)
+        return share if metric == "accuracy" else 1 - share
+    if metric == "mae":
+        return F.avg(F.abs(F.col(label) - F.col(pred)))
+    p = F.get(f"{pred}_prob", label_number(label, labels).cast("int"))
+    return -F.avg(F.ln(F.greatest(F.coalesce(p, F.lit(0.0)), F.lit(1e-15))))
+
+
 def cross_val(est: Estimator, df: DataFrame, key: str, label: str, k: int, metric: str = "accuracy", **kw) -> DataFrame:
     """Score per fold."""
     return cv_scores(est, df, [{}], key, label, k, metric, **kw).drop("candidate")

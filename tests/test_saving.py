@@ -39,7 +39,7 @@ def test_groups_round_trip(two_blobs, tmp_path):
     df = two_blobs.selectExpr("*", "CAST(key % 2 AS STRING) AS g")
     model = ensemble.per_group_fit(GaussianNB, df, "g", XY)
     model.save(str(tmp_path / "m"))
-    assert predictions(ensemble.PerGroupModel.load(str(tmp_path / "m")), df) == predictions(model, df)
+    assert predictions(type(model).load(str(tmp_path / "m")), df) == predictions(model, df)
 
 
 @pytest.mark.parametrize("name", ["ada", "neighbours"])
