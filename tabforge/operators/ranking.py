@@ -17,6 +17,7 @@ from tabforge.functions.hashing import row_hash
 from tabforge.runtime import broadcast_if_small, cut_lineage, in_parallel
 
 ROWS_PER_BUCKET = 100_000
+COUNTED_DIGITS = 3  # of the hash, in the first counting pass
 MAX_SORTED = 1_000_000  # different values that one task sorts
 
 
@@ -25,8 +26,11 @@ def hash_digits(n: int) -> int:
     return max(1, min(6, math.ceil(math.log(max(n / ROWS_PER_BUCKET, 1), 16))))
 
 
-def _from_buckets(df: DataFrame, by: list[str], order: list, out: str, size: str | None) -> DataFrame:
-    counts = df.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+def _bucket_counts(df: DataFrame, by: list[str]) -> DataFrame:
+    return df.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _from_buckets(df: DataFrame, by: list[str], order: list, out: str, size: str | None, counts: DataFrame) -> DataFrame:
     w = Window.partitionBy(*by)
     before = F.sum("_n").over(w.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select(
@@ -50,9 +54,16 @@ def hashed_position(df: DataFrame, key, seed, by=(), out: str = "pos", size: str
     keys = [key] if isinstance(key, str) else list(key)
     by = [by] if isinstance(by, str) else list(by)
     df = df.dropna(subset=by) if by else df
-    digits = hash_digits(df.count())
-    spread = df.withColumn("_h", row_hash(keys, seed)).withColumn("_bucket", F.substring("_h", 1, digits))
-    return _from_buckets(spread, by, ["_h", *keys], out, size)
+    hashed = df.withColumn("_h", row_hash(keys, seed))
+    # One pass counts fine buckets; their sum tells how many digits are wanted, and their sums are the coarser counts.
+    fine = cut_lineage(_bucket_counts(hashed.withColumn("_bucket", F.substring("_h", 1, COUNTED_DIGITS)), by))
+    digits = hash_digits(fine.agg(F.sum("_n")).first()[0] or 0)
+    spread = hashed.withColumn("_bucket", F.substring("_h", 1, digits))
+    if digits > COUNTED_DIGITS:
+        counts = _bucket_counts(spread, by)
+    else:
+        counts = fine.groupBy(*by, F.substring("_bucket", 1, digits).alias("_bucket")).agg(F.sum("_n").alias("_n"))
+    return _from_buckets(spread, by, ["_h", *keys], out, size, counts)
 
 
 def ordered_position(df: DataFrame, col: str, ties=(), out: str = "pos", size: str | None = None) -> DataFrame:
@@ -63,7 +74,8 @@ def ordered_position(df: DataFrame, col: str, ties=(), out: str = "pos", size: s
     """
     parts = max(8, df.count() // ROWS_PER_BUCKET)
     dealt = df.repartitionByRange(parts, col, *ties).withColumn("_bucket", F.spark_partition_id())
-    return _from_buckets(cut_lineage(dealt), [], [col, *ties], out, size)
+    written = cut_lineage(dealt)
+    return _from_buckets(written, [], [col, *ties], out, size, _bucket_counts(written, []))
 
 
 def value_bounds(df: DataFrame, cols, buckets: int) -> dict[str, list[float]]:
