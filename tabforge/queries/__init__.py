@@ -9,6 +9,7 @@ from tabforge.queries import (  # noqa: E402,F401
     gaps,
     joining,
     modelling,
+    nets,
     profiling,
     regression,
     rowwise,
