@@ -57,6 +57,39 @@ def enrich(
     return df.join(right, cond, "left").drop("_salt", *[f"_r_{k}" for k in keys])
 
 
+def heavy_keys(df: DataFrame, on: Sequence[str], share: float) -> list[int]:
+    """Hashes of the keys that hold more than ``share`` of the rows: 1 / ``share`` at most.
+
+    Two narrow passes without a shuffle of keys: a sketch of bounded size names all candidates, then they are counted.
+    """
+    hashed = df.dropna(subset=list(on)).select(F.xxhash64(*on).alias("_key"))
+    found = hashed.stat.freqItems(["_key"], share).first()[0]
+    if not found:
+        return []
+    counts = [F.count_if(F.col("_key") == F.lit(k)).alias(f"n{i}") for i, k in enumerate(found)]
+    row = hashed.agg(F.count(F.lit(1)).alias("n"), *counts).first()
+    return sorted(k for i, k in enumerate(found) if row[f"n{i}"] > share * row["n"])
+
+
+def enrich_hot(df: DataFrame, dim: DataFrame, on, *, share: float = 0.01, salts: int = 16, check_unique: bool = True) -> DataFrame:
+    """``enrich`` for facts with a few very frequent keys: only these are salted, and only their rows of ``dim`` copied.
+
+    A key with more than ``share`` of the facts goes to ``salts`` tasks. All other rows join as they are, and rows whose key is
+    null match nothing and are dealt out to all tasks. One join, whatever the keys.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    if check_unique:
+        require_key(dim.select(*on).dropna(how="any"), on)
+    hot = F.xxhash64(*on).isin(heavy_keys(df, on, share))
+    row = F.xxhash64(*df.columns)
+    missing = reduce(or_, [F.col(k).isNull() for k in on])
+    salt = F.when(missing, F.pmod(row, F.lit(NULL_PLACES)) + salts).when(hot, F.pmod(row, F.lit(salts))).otherwise(0)
+    first = F.lit(0).cast("long")
+    copies = F.when(hot, F.sequence(first, F.lit(salts - 1).cast("long"))).otherwise(F.array(first))
+    right = dim.withColumn("_salt", F.explode(copies))
+    return df.withColumn("_salt", salt.cast("long")).join(right, [*on, "_salt"], "left").drop("_salt")
+
+
 def lookup_join(df: DataFrame, table: DataFrame, code) -> DataFrame:
     """Attributes of a code from a small table; an unknown code gets nulls. The table is counted first."""
     return df.join(broadcast_if_small(require_key(table, code)), code, "left")

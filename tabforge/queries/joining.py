@@ -41,6 +41,19 @@ def join_left_salted(t):
     return J.enrich(fact, dim, "l_suppkey", salts=4).drop("l_suppkey")
 
 
+@query(
+    "join_left_hot",
+    f"""SELECT {LINE_ID} AS line_id, s_acctbal FROM lineitem
+        LEFT JOIN supplier ON CASE WHEN l_orderkey % 3 = 0 THEN 7 WHEN l_orderkey % 50 <> 1 THEN l_suppkey END = s_suppkey""",
+)
+def join_left_hot(t):
+    """One supplier has a third of the lines, some lines have none."""
+    dim = t.supplier.select(F.col("s_suppkey").alias("key"), "s_acctbal")
+    key = F.when(F.col("l_orderkey") % 3 == 0, 7).when(F.col("l_orderkey") % 50 != 1, F.col("l_suppkey"))
+    fact = t.lineitem.select(F.expr(LINE_ID).alias("line_id"), key.cast("long").alias("key"))
+    return J.enrich_hot(fact, dim, "key", share=0.05).drop("key")
+
+
 @query(
     "join_left_composite",
     """WITH w AS (

@@ -5,6 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from tabforge.operators import profile as P
+from tabforge.operators import sketches
 from tabforge.queries.registry import LINE_FEATURES, query, r6
 
 NUMBERS = [*LINE_FEATURES, "l_linenumber"]
@@ -302,3 +303,32 @@ def cov_ellipse(t):
 def range_scale_by(t):
     rows = t.events.select("event_id", "event_type", "value")
     return P.range_scale_by(rows, ["value"], "event_type").select("event_id", r6("value").alias("value"))
+
+
+_FEW = 100
+_MERGED = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+
+
+def _merged_sql(c: str) -> str:
+    return f"""SELECT '{c}' AS "column", count({c}) AS n, count(*) - count({c}) AS nulls, round(avg({c}), 5) AS mean,
+        round(stddev_samp({c}), 5) AS std, CAST(min({c}) AS DOUBLE) AS least, CAST(max({c}) AS DOUBLE) AS largest,
+        CASE WHEN count(DISTINCT {c}) <= {_FEW} THEN count(DISTINCT {c}) END AS few_values,
+        CASE WHEN count(DISTINCT {c}) <= {_FEW} THEN (SELECT max(k) FROM (SELECT count({c}) AS k FROM rows_ GROUP BY {c})) END AS top_count
+        FROM rows_"""
+
+
+@query(
+    "profile_merged",
+    f"WITH rows_ AS (SELECT nullif(l_quantity, 7) AS l_quantity, l_discount, l_tax, l_extendedprice FROM lineitem) "
+    + " UNION ALL ".join(_merged_sql(c) for c in _MERGED),
+)
+def profile_merged(t):
+    """Profiles of twelve parts, merged by return flag, then all; distinct values and the top count while they are few."""
+    rows = t.lineitem.withColumn("l_quantity", F.nullif("l_quantity", F.lit(7)))
+    parts = sketches.profile_parts(rows, _MERGED, F.concat_ws("/", "l_returnflag", F.pmod("l_orderkey", F.lit(4))))
+    merged = sketches.merge_profiles(sketches.merge_profiles(parts, F.substring_index("part", "/", 1)))
+    few = F.col("distinct") <= _FEW
+    return sketches.read_profile(merged).select(
+        "column", "n", "nulls", F.round("mean", 5).alias("mean"), F.round("std", 5).alias("std"), "least", "largest",
+        F.when(few, F.col("distinct")).alias("few_values"), F.when(few, F.col("top")[0]["count"]).alias("top_count"),
+    )
