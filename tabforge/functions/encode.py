@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 PHRASE_BREAKS = r"[.,\-\p{Nd}]+"
 LINE_BREAKS = r"[\n\r\x0B\x0C\x1C-\x1E\u0085\u2028\u2029]"
-BLANKS = r"[\s\x0B\x1C-\x1F\p{Z}\u0085]+"
+BLANKS = "".join(filter(str.isspace, map(chr, range(0x3001))))  # all white space and separators of Unicode
 
 
 def onehot_to_index(cols: Sequence[str]) -> Column:
@@ -50,7 +50,7 @@ def split_phrases(c, breaks: str = PHRASE_BREAKS) -> Column:
     """Phrases of a text: cut at line ends, then at ``breaks``; trimmed, empty ones dropped."""
     text = F.col(c) if isinstance(c, str) else c
     parts = F.split(text, f"{LINE_BREAKS}|{breaks}")
-    trimmed = F.transform(parts, lambda p: F.regexp_replace(p, f"^{BLANKS}|{BLANKS}$", ""))
+    trimmed = F.transform(parts, lambda p: F.btrim(p, F.lit(BLANKS)))
     return F.filter(trimmed, lambda p: p != "")
 
 

@@ -54,19 +54,20 @@ def in_parallel(fn: Callable, items: Sequence, threads: int = 4) -> list:
 
 
 SMALL_TABLE_ROWS = 5_000_000
+MAX_SMALL_PARTS = 24
 
 
 def spread(df: DataFrame, rows: int, key: str | None = None) -> DataFrame:
     """Lay out training rows for an algorithm that passes over them many times.
 
-    A small table in few files would use few cores, so it is dealt out to all of them. A large one stays as it
-    was read. With a key, rows always lie in the same place and order, whatever the files looked like.
+    The number of parts follows from the rows alone, the place of a row from its key, without one from a hash of all its
+    values (equal rows are alike). So a fit sees the same parts in the same order whatever the files and cores were.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = min(cores, -(-rows // 5_000)) if rows <= SMALL_TABLE_ROWS else max(3 * cores, rows // SMALL_TABLE_ROWS)
+    parts = min(MAX_SMALL_PARTS, -(-rows // 5_000)) if rows <= SMALL_TABLE_ROWS else max(MAX_SMALL_PARTS, rows // 200_000)
     if key:
         return df.repartition(max(1, parts), key).sortWithinPartitions(key)
-    return df.repartition(parts) if 1 < parts and rows <= SMALL_TABLE_ROWS else df
+    marked = df.withColumn("_place", F.xxhash64(*df.columns))
+    return marked.repartition(max(1, parts), "_place").sortWithinPartitions("_place").drop("_place")
 
 
 def bounded_rows(df: DataFrame, max_rows: int, what: str) -> list:
