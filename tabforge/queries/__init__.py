@@ -3,6 +3,7 @@
 from tabforge.queries.registry import QUERIES, SQL
 
 from tabforge.queries import (  # noqa: E402,F401
+    calibrating,
     columns,
     encoding,
     exact_cases,
