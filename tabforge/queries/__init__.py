@@ -21,6 +21,7 @@ from tabforge.queries import (  # noqa: E402,F401
     sources,
     splitting,
     trees,
+    twins,
 )
 
 __all__ = ["QUERIES", "SQL"]

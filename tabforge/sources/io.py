@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,3 +136,15 @@ def soil_table(spark: SparkSession) -> DataFrame:
 
     rows = [(int(code), text) for code, text in (s.split(" ", 1) for s in SOIL_DESCRIPTIONS.splitlines())]
     return literal_table(spark, rows, "code int, description string")
+
+
+def cached_weights(spark: SparkSession, path: str, build: Callable[[], Mapping[str, float]], fingerprint: str) -> dict[str, float]:
+    """Fitted weights by name, kept as a one-row table; built only when their inputs changed. Nulls come back as None."""
+
+    def table() -> DataFrame:
+        weights = {name: None if w is None else float(w) for name, w in build().items()}
+        if not weights:
+            raise ValueError("no weights to keep")
+        return spark.createDataFrame([tuple(weights.values())], ", ".join(f"`{name}` double" for name in weights))
+
+    return cached(spark, path, table, fingerprint).first().asDict()
