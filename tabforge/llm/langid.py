@@ -26,6 +26,7 @@ from tabforge.runtime import bounded_rows
 BUCKET_BITS = 14
 ORDERS = (1, 2, 3)
 PIECE = 1 << 20  # characters hashed together
+BLOCK_GRAMS = 1 << 18  # n-grams scored together
 MAX_LANGUAGES = 500  # times the buckets: 64 MB of probabilities
 UNKNOWN = "und"
 FACTORS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -43,27 +44,42 @@ def folding() -> np.ndarray:
     return table
 
 
-def gram_buckets(text: str) -> np.ndarray:
-    """Buckets of all n-grams that hold a letter. Empty if the text has none."""
-    codes = folding()[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
-    codes = np.concatenate([[32], codes, [32]]).astype(np.uint64)
-    blank = codes == 32
-    codes = codes[~(blank & np.concatenate([[False], blank[:-1]]))]
-    if len(codes) < 2:
-        return np.empty(0, np.int64)
-    found = []
-    mixed = np.zeros(len(codes), np.uint64)
-    for n in ORDERS:
-        mixed = (mixed[: len(codes) - n + 1] + codes[n - 1 :]) * FACTORS[n % 3]
-        mixed = mixed ^ (mixed >> np.uint64(29))
-        grams = mixed if n > 1 else mixed[codes != 32]
-        found.append((grams * FACTORS[0]) >> np.uint64(64 - BUCKET_BITS))
-    return np.concatenate(found).astype(np.int64)
-
-
-def _pieces(text: str) -> Iterator[np.ndarray]:
+def gram_pieces(text: str) -> Iterator[np.ndarray]:
+    """Buckets of all n-grams that hold a letter, piece by piece; pieces overlap, so that no n-gram is lost or made up."""
+    tail = np.array([32], np.uint64)  # the last letters and spaces before the piece; a space before the text
     for at in range(0, len(text), PIECE):
-        yield gram_buckets(text[at : at + PIECE])
+        codes = folding()[np.frombuffer(text[at : at + PIECE].encode("utf-32-le"), np.uint32)].astype(np.uint64)
+        codes = np.concatenate([tail, codes, [np.uint64(32)] if at + PIECE >= len(text) else []]).astype(np.uint64)
+        blank = codes == 32
+        codes = codes[~(blank & np.concatenate([[False], blank[:-1]]))]
+        found, mixed = [], np.zeros(len(codes), np.uint64)
+        for n in ORDERS:
+            new = max(0, len(tail) - n + 1)  # the first n-gram that ends in this piece
+            mixed = (mixed[: max(0, len(codes) - n + 1)] + codes[n - 1 :]) * FACTORS[n % 3]
+            mixed = mixed ^ (mixed >> np.uint64(29))
+            grams = mixed[new:] if n > 1 else mixed[new:][codes[new:] != 32]
+            found.append((grams * FACTORS[0]) >> np.uint64(64 - BUCKET_BITS))
+        yield np.concatenate(found).astype(np.int64)
+        tail = codes[-(max(ORDERS) - 1) :]
+
+
+def gram_buckets(text: str) -> np.ndarray:
+    """Buckets of all n-grams of a text that hold a letter. Empty if it has none."""
+    return np.concatenate([np.empty(0, np.int64), *gram_pieces(text)])
+
+
+def gram_blocks(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Text numbers and buckets of many n-grams at a time, of short texts together and of long ones piece by piece."""
+    held, size = [], 0
+    for i, value in enumerate(texts):
+        for buckets in gram_pieces(value.as_py() or ""):
+            held.append((np.full(len(buckets), i), buckets))
+            size += len(buckets)
+            if size >= BLOCK_GRAMS:
+                yield tuple(np.concatenate(x) for x in zip(*held))
+                held, size = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held))
 
 
 def gram_counts(df: DataFrame, text: str, lang: str) -> DataFrame:
@@ -74,7 +90,7 @@ def gram_counts(df: DataFrame, text: str, lang: str) -> DataFrame:
         for batch in batches:
             for value, language in zip(batch.column(0), batch.column(1).to_pylist()):
                 total = sums.setdefault(language, np.zeros(1 << BUCKET_BITS, np.int64))
-                for buckets in _pieces(value.as_py() or ""):
+                for buckets in gram_pieces(value.as_py() or ""):
                     total += np.bincount(buckets, minlength=len(total))
         for language, total in sums.items():
             at = np.flatnonzero(total)
@@ -108,21 +124,20 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "tex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, logs = shared.value
+        columns = np.ascontiguousarray(logs.T)
         for batch in batches:
-            names, scores = [], []
-            for value in batch.column(0):
-                total, grams = np.zeros(len(languages)), 0
-                for buckets in _pieces(value.as_py() or ""):
-                    total += np.bincount(buckets, minlength=len(logs)) @ logs if len(buckets) > 4096 else logs[buckets].sum(0)
-                    grams += len(buckets)
-                if grams and languages:
-                    best = int(np.argmax(total))
-                    names.append(languages[best])
-                    scores.append(float(1 / np.exp(total - total[best]).sum()))
-                else:
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
-            arrays = [*batch.columns[1:], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            n = batch.num_rows
+            total, grams = np.zeros((n, len(languages))), np.zeros(n, np.int64)
+            for at, buckets in gram_blocks(batch.column(0)):
+                grams += np.bincount(at, minlength=n)
+                for j, column in enumerate(columns):  # a sparse row of counts for each text, times the matrix
+                    total[:, j] += np.bincount(at, column[buckets], n)
+            known = (grams > 0) & (len(languages) > 0)
+            best = total.argmax(axis=1) if len(languages) else np.zeros(n, np.int64)
+            names = [languages[b] if k else UNKNOWN for b, k in zip(best, known)]
+            top = total[np.arange(n), best][:, None] if len(languages) else total
+            scores = np.where(known, 1 / np.maximum(np.exp(total - top).sum(axis=1), 1e-300), 0.0)
+            arrays = [*batch.columns[1:], pa.array(names, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return df.select(f"`{text}`", *[f"`{f.name}`" for f in keep]).mapInArrow(score, schema)

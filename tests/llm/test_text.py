@@ -169,6 +169,35 @@ def test_language_held_out(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_language_pieces(monkeypatch):
+    """Pieces of any size give the n-grams of the whole text: letters lower-cased, one space for all else, a space around."""
+    rnd = random.Random(1)
+    parts = ["a", "B", " ", "  ", "1", "é", "\n", "日", "xxxxx", "İ", "ß."]
+    for _ in range(200):
+        text = "".join(rnd.choices(parts, k=rnd.randint(0, 20)))
+        monkeypatch.setattr(langid, "PIECE", 1 << 20)
+        want = sorted(langid.gram_buckets(text).tolist())
+        low = "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text)
+        plain = re.sub(" +", " ", f" {low} ")
+        assert len(want) == (sum(c != " " for c in plain) + 2 * len(plain) - 3 if len(plain) > 1 else 0)
+        for piece in (1, 2, 3, 7):
+            monkeypatch.setattr(langid, "PIECE", piece)
+            assert sorted(langid.gram_buckets(text).tolist()) == want
+
+
+def test_language_scores(spark, monkeypatch):
+    """The posterior of the best language, whether texts are scored together or one n-gram block at a time."""
+    docs = spark.read.parquet(DOCUMENTS).select("doc_id", "text", "lang").where("doc_id % 40 = 0").cache()
+    languages, logs = langid.fit(docs)
+    for size in (1 << 18, 500):
+        monkeypatch.setattr(langid, "BLOCK_GRAMS", size)
+        found = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, (languages, logs)).collect()}
+        for r in docs.collect():
+            total = logs[langid.gram_buckets(r.text or "")].sum(0)
+            want = 1 / np.exp(total - total.max()).sum()
+            assert found[r.doc_id][0] == languages[int(total.argmax())] and abs(found[r.doc_id][1] - want) < 1e-9
+
+
 def test_language_by_hand(spark):
     """Counts and scores as the formula says."""
     train = [(1, "ab ab", "x"), (2, "Ba!", "y"), (3, "zz", None), (4, None, "x"), (5, "", "y")]
