@@ -7,7 +7,8 @@ from the most significant slice downward; rows that tie at the boundary are reso
 
 Cases: vectors that are null or hold null or non-finite components take no part; vectors of different length are not
 compared; a query meets every row with another key; an empty vector scores 0; keys that repeat with one vector are one
-query; null keys take no part; an empty table gives an empty result.
+query; null keys take no part; an empty table gives an empty result. Columns other than key and vector are not passed on. Sums are
+64-bit: dimensions times the square of the largest scaled component must stay below 2^63.
 """
 
 from __future__ import annotations

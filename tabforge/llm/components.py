@@ -4,6 +4,9 @@ Each round at least the moved nodes vanish and edges inside a contracted node ar
 with the logarithm of the longest path. Once the remaining edges fit into one task, a bounded number, that task finishes
 them by union-find. A node with a third of all edges is reduced to one row per task before the
 shuffle, and relabelling joins written tables, which Spark splits when one node is much more frequent than others.
+
+Cases: edges that repeat or lead from a node to itself change nothing; edges with a null end must be left out before; a table
+without edges between different nodes gives None. Only the two columns of the edges are looked at.
 """
 
 from __future__ import annotations

@@ -3,7 +3,8 @@
 A rule is a host and a path prefix, written ``host/path``. It fits its host and every subdomain when the URL's path
 starts with the rule's path. The deepest host wins, then the longest path; of two entries for one place, block wins.
 
-Cases: a null URL, or one without ``://``, has an empty host and path and gets the default verdict. Rows repeat as given.
+Cases: a null URL, or one without ``://``, has an empty host and path and gets the default verdict. Rows repeat as given. A URL
+of any length is walked once, no deeper than the deepest rule. More than 1,000,000 rules are an error.
 An empty table gives an empty result. Columns of the input other than the URL pass through; one named like a result
 column is replaced.
 """
