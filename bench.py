@@ -23,10 +23,10 @@ HEADLINE = """
 flagship classify_and_score
 src_csv_typed parse_ts_multi
 drop_near_constant drop_low_variance impute_mean
-join_left_dim join_left_salted join_left_composite range_join
+join_left_dim join_left_salted join_left_hot join_left_composite range_join
 row_norm weighted_sum bin_floor flatten_array
 label_encode split_phrases phrase_vocab
-nunique_by_group describe_numeric mode_frequency corr_matrix histogram_by_class kde_by_group cov_ellipse
+nunique_by_group profile_merged describe_numeric mode_frequency corr_matrix histogram_by_class kde_by_group cov_ellipse
 standardize_train_test stratified_split stratified_kfold kfold_assign cap_rows
 metric_class_report metric_auc_macro
 clf_gaussian_nb clf_lda_2d clf_qda knn_classify knn_loo_accuracy tune_knn

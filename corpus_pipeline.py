@@ -2,6 +2,10 @@
 
 Each stage is one operator on everything that the stage before kept; its result is written as Parquet and read again. All
 stages but the last return the columns of ``documents``.
+
+Cases: a null or empty text is judged, compared, mixed and packed as an empty one; of rows that share a key and a text one
+stays after exact dedup; rows without a key stay unless an equal text has one; of linked near copies the smallest key stays;
+a null language or source is a value of its own; very long texts are read whole by every stage; an empty table stays empty.
 """
 
 from __future__ import annotations
