@@ -136,7 +136,7 @@ def clf_boost_softmax(t):
 def boost_rounds_cv(t):
     """Held-out log loss after each round of five folds that advance in step, and the round to stop at."""
     train, _ = parts(t, scaled=False)
-    history, best = rounds_by_cv(_boosted(rounds=30, rate=0.5, maxDepth=4, patience=5), train, "line_id", k=5, seed=1)
+    history, best = rounds_by_cv(_boosted(rounds=12, rate=0.5, maxDepth=4, patience=3), train, "line_id", k=5, seed=1)
     return history.withColumn("best", F.col("round") == best)
 
 
