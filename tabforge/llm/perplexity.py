@@ -32,7 +32,8 @@ SYMBOL_BITS = 12
 OWN = 0xF00  # characters below have a symbol of their own
 START = 0  # before the first character
 TOP = SYMBOL_BITS * (ORDER - 1)
-CHUNK = 1 << 21  # characters counted or scored together
+CHUNK = 1 << 19  # characters counted or scored together
+MERGED = 1 << 20  # counts of chunks that wait to be merged
 SHARD_ROWS = 4_000_000  # runs in a broadcast: 64 MB
 MAX_KEYS = 8_000_000  # trusted keys in a broadcast: 64 MB
 HELD_OUT = 8  # one trusted document in so many is kept from the counts and sets the thresholds
@@ -82,22 +83,31 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
         yield start, chunk
 
 
+def _merged(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Different runs of several counts, and their sums."""
+    runs, at = np.unique(np.concatenate([c[0] for c in counts]), return_inverse=True)
+    return runs, np.bincount(at, np.concatenate([c[1] for c in counts]), len(runs)).astype(np.int64)
+
+
 def run_counts(df: DataFrame, text: str, key: str | None = None, keys=None) -> DataFrame:
     """``run`` and ``n`` over all rows, or over those whose ``key`` is in the broadcast sorted array ``keys``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs, sums = np.empty(0, np.int64), np.empty(0, np.int64)
+        none = np.empty(0, np.int64)
+        runs, sums, waiting, size = none, none, [], 0
         for batch in batches:
             if keys is not None:
                 batch = batch.filter(pa.array(np.isin(batch.column(1).to_numpy(zero_copy_only=False), keys.value)))
             for _, chunk in _chunks([t or "" for t in batch.column(0).to_pylist()]):
-                new, n = np.unique(runs_of(chunk)[0], return_counts=True)
-                merged, at = np.unique(np.concatenate([runs, new]), return_inverse=True)
-                sums = np.bincount(at, np.concatenate([sums, n]), len(merged)).astype(np.int64)
-                runs = merged
-                if len(runs) > SHARD_ROWS:
-                    yield pa.RecordBatch.from_arrays([pa.array(runs), pa.array(sums)], ["run", "n"])
-                    runs, sums = np.empty(0, np.int64), np.empty(0, np.int64)
+                waiting.append(np.unique(runs_of(chunk)[0], return_counts=True))
+                size += len(waiting[-1][0])
+                if size > MERGED:
+                    runs, sums = _merged([(runs, sums), *waiting])
+                    waiting, size = [], 0
+                    if len(runs) > SHARD_ROWS:
+                        yield pa.RecordBatch.from_arrays([pa.array(runs), pa.array(sums)], ["run", "n"])
+                        runs, sums = none, none
+        runs, sums = _merged([(runs, sums), *waiting])
         yield pa.RecordBatch.from_arrays([pa.array(runs), pa.array(sums)], ["run", "n"])
 
     columns = [f"`{text}`"] if keys is None else [f"`{text}`", f"`{key}`"]
