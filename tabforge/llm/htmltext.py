@@ -8,8 +8,9 @@ hold much of them, or else the containers; all other lines of a chosen region be
 
 Cases: null, empty and unreadable pages have empty text; broken markup is read as far as it goes: open elements end with
 the page, end tags without a start are passed over, a menu or form left open ends where an article starts; a page without
-content lines gives all lines that are not of the kinds above; if a form holds the whole page, forms count as any element. Rows are independent; other columns pass through, but for
-the page itself, and one named like the result is replaced. An empty table gives an empty result.
+content lines gives all lines that are not of the kinds above; if a form holds the whole page, forms count as any element.
+Very long pages are read whole, one at a time. Rows are independent, also those that repeat; other columns pass through, but
+for the page itself, and one named like the result is replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
