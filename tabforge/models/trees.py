@@ -533,7 +533,8 @@ def _finish_small(rows: DataFrame, grower: Grower, weigh: Weigh, trees: dict[int
         tree = grow_here(grower, codes, stats, *about[t, node])
         numbers = np.array([tree.feature, tree.cut, tree.left, tree.right, tree.depth], np.int32)
         fields = [numbers.tobytes(), np.array([tree.gain, tree.threshold]).tobytes(), np.array(tree.stats, np.int64).tobytes()]
-        return pa.table({"tree": table["tree"][:1], "node": table["node"][:1], **{n: pa.array([v], pa.binary()) for n, v in zip(("numbers", "gains", "stats"), fields)}})
+        packed = {n: pa.array([v], pa.binary()) for n, v in zip(("numbers", "gains", "stats"), fields)}
+        return pa.table({"tree": table["tree"][:1], "node": table["node"][:1], **packed})
 
     moved = rows.mapInArrow(gather, "tree int, node long, codes binary, stats binary")
     subtrees = moved.groupBy("tree", "node").applyInArrow(finish, "tree int, node long, numbers binary, gains binary, stats binary")

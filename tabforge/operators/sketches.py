@@ -64,7 +64,8 @@ def profile_parts(df: DataFrame, cols: Sequence[str], part: Column | None = None
 def merge_profiles(parts: DataFrame, part: Column | None = None) -> DataFrame:
     """Profiles put together: all of a column, or those that ``part`` maps to one name. The same columns again."""
     named = parts.withColumn("part", F.lit("all") if part is None else part)
-    means = named.groupBy("part", "column").agg((F.sum(F.col("n") * F.col("mean")) / F.nullif(F.sum(F.when(F.col("mean").isNotNull(), F.col("n"))), F.lit(0))).alias("_mean"))
+    counted = F.nullif(F.sum(F.when(F.col("mean").isNotNull(), F.col("n"))), F.lit(0))
+    means = named.groupBy("part", "column").agg((F.sum(F.col("n") * F.col("mean")) / counted).alias("_mean"))
     shifted = named.join(means, ["part", "column"])
     return shifted.groupBy("part", "column").agg(
         F.sum("n").alias("n"),
