@@ -2,9 +2,10 @@
 
 Documents are tokenised, closed with an end id, and cut if longer than a sequence. Only the histogram of piece lengths
 (as many numbers as a sequence has tokens) reaches the driver. There a configuration, a multiset of lengths that fit into
-one sequence, is priced by knapsack dynamic programming; multiplicative weights raise the price of lengths that are
-covered too little; the configurations' shares are rounded down, and what is left is filled best fit first. The plan has
-about as many rows as a sequence has tokens. Pieces then get exact positions among their equals, in small buckets, and
+one sequence, is priced by knapsack dynamic programming. Multiplicative weights seek the prices that prove the highest
+number of sequences; every length has a price, however few pieces it has. Whole uses of the dearest configurations are
+taken until none is left, prices are found anew for what remains, and the last pieces are filled best fit first. The plan
+has about as many rows as a sequence has tokens. Pieces then get exact positions among their equals, in small buckets, and
 look their place up in the plan.
 
 Cases: a null text counts as empty and is one piece, the end id; rows that repeat a key are packed as rows of their own;
@@ -14,6 +15,7 @@ the order of a hash of key and piece. Columns other than key and text are not pa
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -28,9 +30,12 @@ from tabforge.operators.ranking import hashed_position
 from tabforge.runtime import cut_lineage
 
 END_ID = 0
-ROUNDS = 200  # of multiplicative weights
+ROUNDS = 20  # of multiplicative weights
 STEP = 0.3  # largest part of a length's demand that a round covers
-RARE = 10  # lengths of fewer pieces are left to best fit, because their shares would be rounded to nothing
+SHIFT = 0.3  # by how much prices of what is covered fall in the first round
+NEAR = 0.02  # configurations this close to the dearest are used in a round
+TOLERANCES = (1e-9, 1e-9, 0.001, 0.004, 0.016)  # for whole uses, one after the other
+LEAST = 1e-9  # of a length's count, for sums of floats
 
 _IDS: dict[str, TokenIds] = {}
 
@@ -78,56 +83,120 @@ def cut_pieces(
     return df.select(f"`{key}`", f"`{text}`").mapInArrow(cut, schema)
 
 
-def best_configuration(prices: np.ndarray, capacity: int) -> np.ndarray:
-    """Lengths (repeats allowed) of the dearest multiset that fits. ``prices[l]`` is the price of length l.
+def best_values(prices: np.ndarray, capacity: int) -> np.ndarray:
+    """Price of the dearest multiset that fits into each size; ``prices[l]`` is the price of length l.
 
     Knapsack by dynamic programming over the filled size; one step weighs all lengths at once.
     """
     value = np.zeros(capacity + 1)
-    choice = np.zeros(capacity + 1, np.int64)
-    lengths = np.flatnonzero(prices > 0)
-    cost = prices[lengths]
     for size in range(1, capacity + 1):
-        fit = int(np.searchsorted(lengths, size, "right"))
-        value[size] = value[size - 1]
-        if fit:
-            total = cost[:fit] + value[size - lengths[:fit]]
-            at = int(np.argmax(total))
-            if total[at] > value[size]:
-                value[size], choice[size] = total[at], lengths[at]
-    out, size = [], capacity
-    while size > 0:
-        if choice[size]:
-            out.append(choice[size])
-            size -= choice[size]
-        else:
-            size -= 1
-    return np.array(out, np.int64)
-
-
-def fractional_cover(counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, float]]:
-    """Configurations and how often to use each, by multiplicative weights; no length is covered beyond its demand.
-
-    The price of a length falls exponentially with the part of its demand that is covered so far. Every round uses the
-    dearest configuration so often that no part grows by more than STEP. The prices of early rounds are poor, so the first
-    half only sets prices; the shares of the second half are scaled together at the end.
+        value[size] = max(value[size - 1], (prices[1 : size + 1] + value[size - 1 :: -1]).max())
+    return value
+
+
+def filled(config: list[int], prices: np.ndarray, value: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """``config`` with the dearest lengths that still fit, none more often than its limit; of equally dear ones the longest.
+
+    ``prices`` are minus infinity where there is nothing left; they are changed for a while.
     """
-    lengths = np.flatnonzero(counts >= RARE)
-    covered, counted = np.zeros(len(counts)), np.zeros(len(counts))
-    used: dict[tuple, float] = {}
-    prices = np.zeros(len(counts))
-    for turn in range(ROUNDS if len(lengths) else 0):
-        part = covered[lengths] / counts[lengths]
-        prices[lengths] = np.exp((part.min() - part) / STEP) / counts[lengths]
-        config = tuple(best_configuration(prices, capacity).tolist())
-        kinds, times = np.unique(config, return_counts=True)
-        often = float(STEP * (counts[kinds] / times).min())
-        covered[kinds] += often * times
-        if 2 * turn >= ROUNDS:
-            counted[kinds] += often * times
-            used[config] = used.get(config, 0.0) + often
-    most = max([1.0, *(counted[lengths] / counts[lengths])])
-    return [(np.array(c, np.int64), x / most) for c, x in used.items()]
+    config, room, used, gone = list(config), len(value) - 1 - sum(config), {}, []
+    new = list(config)
+    while True:
+        for length in new:
+            used[length] = used.get(length, 0) + 1
+            if used[length] >= limits[length]:
+                gone.append((length, prices[length]))
+                prices[length] = -np.inf
+        if room == 0:
+            break
+        total = prices[1 : room + 1] + value[room - 1 :: -1]
+        length = room - int(total[::-1].argmax())
+        if total[length - 1] == -np.inf:
+            break
+        config.append(length)
+        room, new = room - length, [length]
+    for length, price in reversed(gone):
+        prices[length] = price
+    return np.array(config, np.int64)
+
+
+def best_configuration(prices: np.ndarray, capacity: int) -> np.ndarray:
+    """Lengths (repeats allowed) of the dearest multiset that fits."""
+    usable = np.where(prices > 0, prices, -np.inf)
+    return filled([], usable, best_values(prices, capacity), np.full(capacity + 1, np.inf))
+
+
+def tight_configurations(
+    prices: np.ndarray, value: np.ndarray, counts: np.ndarray, part: float, tolerance: float, whole: bool
+) -> tuple[list[tuple[np.ndarray, int]], np.ndarray]:
+    """Configurations of a price within ``tolerance`` of the dearest, and what they cover: at most ``part`` of each count.
+
+    The longest length comes first, with the dearest configuration that holds it, used as often as its lengths allow.
+    ``whole`` uses only; else a length gets one configuration, and parts of uses count.
+    """
+    allowed = part * counts
+    limits = allowed if whole else counts
+    usable, found = np.where(allowed > 0, prices, -np.inf), []
+    usable[0] = -np.inf
+    for length in np.flatnonzero(allowed)[::-1]:
+        if prices[length] + value[-1 - length] < (1 - tolerance) * value[-1]:
+            continue
+        while usable[length] > -np.inf:
+            config = filled([int(length)], usable, value, limits)
+            if prices[config].sum() < (1 - tolerance) * value[-1]:
+                break
+            kinds, times = np.unique(config, return_counts=True)
+            often = int((allowed[kinds] // times).min()) if whole else (allowed[kinds] / times).min()
+            allowed[kinds] -= often * times
+            usable[kinds[allowed[kinds] <= LEAST * counts[kinds]]] = -np.inf
+            found.append((config, often))
+            if not whole:
+                break
+    return found, part * counts - allowed
+
+
+def starting_prices(capacity: int) -> Iterator[np.ndarray]:
+    """Prices known to price no configuration above one: by size, by how many fit, by steps, and with the longest at one."""
+    lengths = np.arange(capacity + 1)
+    yield lengths / capacity
+    yield np.append(0.0, 1 / (capacity // lengths[1:]))
+    for k in range(1, 17):
+        scaled = (k + 1) * lengths
+        yield np.where(scaled % capacity == 0, lengths / capacity, scaled // capacity / k)
+    for least in sorted({capacity * i // 16 for i in range(1, 9)} - {0}):
+        yield np.where(lengths > capacity - least, 1.0, np.where(lengths < least, 0.0, lengths / capacity))
+
+
+def cover_bound(prices: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Fewest sequences that the prices prove by duality, the prices with the dearest configuration at one, its values."""
+    prices = np.where(counts > 0, prices, 0.0)
+    value = best_values(prices, capacity)
+    if value[-1] == 0:
+        return 0.0, prices, value
+    return float((prices * counts).sum() / value[-1]), prices / value[-1], value / value[-1]
+
+
+def cover_prices(counts: np.ndarray, capacity: int, enough: int) -> tuple[float, np.ndarray]:
+    """Bound and prices of the linear program of configurations that cover every length's count, rare ones too.
+
+    Multiplicative weights: a round uses all configurations near the dearest, each length up to STEP of its count, and what
+    they cover gets cheaper, by less from round to round. The rounds begin at the best of the starting prices; of all
+    rounds' prices and their mean, those with the highest bound are given. A bound of ``enough`` ends the rounds.
+    """
+    best = max((cover_bound(p, counts, capacity) for p in starting_prices(capacity)), key=lambda b: b[0])
+    prices = np.where(counts > 0, np.maximum(best[1], 1e-3 * np.arange(capacity + 1) / capacity), 0.0)
+    mean = np.zeros(capacity + 1)
+    for turn in range(ROUNDS):
+        if math.ceil(best[0] - 1e-6) >= enough:
+            break
+        _, now, value = bound = cover_bound(prices, counts, capacity)
+        mean += now / bound[0]
+        best = max(best, bound, key=lambda b: b[0])
+        _, covered = tight_configurations(now, value, counts, STEP, NEAR, whole=False)
+        prices = now * np.exp(-SHIFT / (turn + 1) * covered / np.maximum(counts, 1))
+    else:
+        best = max(best, cover_bound(mean, counts, capacity), key=lambda b: b[0])
+    return best[:2]
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
@@ -150,16 +219,33 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
     return plan
 
 
-def rounded(cover: list[tuple[np.ndarray, float]], counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
-    """Whole uses of the configurations of a fractional cover, and best-fit ones for the rest."""
-    left, plan = counts.copy(), []
-    for config, share in cover:
-        kinds, times = np.unique(config, return_counts=True)
-        often = min(int(share), int((left[kinds] // times).min()))
-        if often > 0:
-            left[kinds] -= often * times
-            plan.append((config, often))
-    return plan + best_fit(left, capacity)
+def cover(counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """Whole uses of configurations that the linear program prices highest, and best-fit ones for the rest.
+
+    Prices are those of what is left, found anew for each tolerance; tight configurations are used until there are none.
+    What best fit adds is known after each step: of all steps the plan with the fewest sequences is given, of equally short
+    ones the latest. A plan as short as the bound ends the search.
+    """
+    left, placed, used = counts.copy(), [], 0
+    rest = best_fit(left, capacity)
+    fewest, plan, least = sum(n for _, n in rest), rest, 0
+    for tolerance in TOLERANCES:
+        bound, prices = cover_prices(left, capacity, sum(n for _, n in rest))
+        least = least or math.ceil(bound - 1e-6)
+        while left.any():
+            _, now, value = cover_bound(prices, left, capacity)
+            found, covered = tight_configurations(now, value, left, 1, tolerance, whole=True)
+            if not found or value[-1] == 0:
+                break
+            left = left - covered
+            placed, used = placed + found, used + sum(n for _, n in found)
+            rest = best_fit(left, capacity)
+            total = used + sum(n for _, n in rest)
+            if total <= fewest:
+                fewest, plan = total, placed + rest
+        if fewest == least and plan is not rest or not left.any():
+            break
+    return plan
 
 
 def plan_sequences(histogram: dict[int, int], capacity: int) -> dict[str, np.ndarray]:
@@ -171,7 +257,7 @@ def plan_sequences(histogram: dict[int, int], capacity: int) -> dict[str, np.nda
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         counts[length] = n
-    plan = rounded(fractional_cover(counts, capacity), counts, capacity)
+    plan = cover(counts, capacity)
     runs, placed, sequence = [], np.zeros(capacity + 1, np.int64), 0
     for config, often in plan:
         offset = 0

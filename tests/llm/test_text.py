@@ -118,6 +118,34 @@ def test_plans_hold_every_piece_once(counts):
         assert len(used) == 600  # no waste is needed
 
 
+def rare_lengths(n, spread, top):
+    rng = np.random.default_rng(3)
+    return np.bincount(np.clip(600 * np.exp(rng.normal(0, spread, n)), 1, top).astype(int), minlength=2049)
+
+
+@pytest.mark.parametrize("counts", [rare_lengths(1200, 0.8, 2048), rare_lengths(4000, 1.0, 2048), rare_lengths(40_000, 1.2, 1500)])
+def test_program_places_nearly_all_pieces(monkeypatch, counts):
+    """Lengths of few pieces enter the program too; best fit gets what is left."""
+    best_fit, left = packing.best_fit, []
+    monkeypatch.setattr(packing, "best_fit", lambda c, n: (left.append(int(c.sum())), best_fit(c, n))[1])
+    plan = packing.plan_sequences({k: int(n) for k, n in enumerate(counts) if n}, 2048)
+    sequences = (plan["sequence"] + plan["often"]).max()
+    assert min(left) < 0.1 * counts.sum()
+    assert -(-(counts * np.arange(2049)).sum() // 2048) <= sequences <= sum(often for _, often in best_fit(counts, 2048))
+
+
+@pytest.mark.parametrize("counts, want", [({1100: 1000, 700: 800, 300: 500}, 1000), ({690: 3000, 900: 3000}, 3000), ({500: 9, 600: 90}, 33)])
+def test_bound_of_the_program(counts, want):
+    """Where sizes do not fill a sequence, the prices prove how many are needed, and the plan has no more."""
+    dense = np.zeros(2049, np.int64)
+    for length, n in counts.items():
+        dense[length] = n
+    bound, prices = packing.cover_prices(dense, 2048, want)
+    assert prices[packing.best_configuration(prices, 2048)].sum() <= 1 + 1e-9
+    assert np.isclose(bound, (prices * dense).sum()) and want - 1 < bound <= want + 1e-6
+    assert sum(often for _, often in packing.cover(dense, 2048)) == want
+
+
 def mix_rows():
     rnd = random.Random(4)
     rows = [(i, "w " * rnd.randint(0, 50), rnd.choice(["a", "b", "é", "hot", "hot", "hot", None]), 7) for i in range(3000)]
