@@ -25,20 +25,21 @@ from tabforge.models.base import ColumnEstimator, ColumnModel
 from tabforge.models.forest import complete, spread_rows
 from tabforge.models.trees import (
     MAX_BINS,
+    Block,
     Grower,
     Rules,
     Slopes,
     Walker,
+    blocks_of,
     compact,
     find_bins,
     fixed_point,
     grow,
     importances,
+    laid_out,
     mix,
     mix_rows,
-    packed_rows,
     routed,
-    unpacked_rows,
     with_bins,
 )
 from tabforge.operators.profile import class_sizes
@@ -63,18 +64,19 @@ KNOBS = {
 }
 
 
-def softmax(margins: np.ndarray) -> np.ndarray:
-    e = np.exp(margins - margins.max(axis=-1, keepdims=True))
-    return e / e.sum(axis=-1, keepdims=True)
+def softmax(margins: np.ndarray, axis: int = -1) -> np.ndarray:
+    e = np.exp(margins - margins.max(axis=axis, keepdims=True))
+    return e / e.sum(axis=axis, keepdims=True)
 
 
-def staged_margins(batch: pa.RecordBatch, codes: np.ndarray, recent: list, ensembles: int, classes: int) -> Iterator[np.ndarray]:
-    """Margins of a batch as written, then after each recent round; one array, changed in place."""
-    out = unpacked_rows(batch.column(4), float, ensembles * classes).reshape(batch.num_rows, ensembles, classes).copy()
+def staged_margins(block: Block, recent: list, ensembles: int, classes: int) -> Iterator[np.ndarray]:
+    """Margins of a block (ensembles, classes, rows) as written, then after each recent round; one array, changed in place."""
+    n = block["_bins"].shape[1]
+    out = block["_f"].reshape(ensembles, classes, n).copy() if len(block["_f"]) else np.zeros((ensembles, classes, n))
     yield out
     for trees in recent:
         for t, (router, values) in trees.items():
-            out[:, t // classes, t % classes] += values[routed(router, codes)]
+            out[t // classes, t % classes] += values[routed(router, block["_bins"])]
         yield out
 
 
@@ -82,7 +84,7 @@ def staged_margins(batch: pa.RecordBatch, codes: np.ndarray, recent: list, ensem
 class Boosting:
     """Ensembles on one table. Ensemble ``e`` learns from rows whose ``_fold`` is not ``e`` and is judged on the others."""
 
-    data: DataFrame  # _bins, _y, _id, _fold, and _f: margins of all ensembles and classes
+    data: DataFrame  # blocks: _bins, _y, _id, _fold, and _f: margins of all ensembles and classes, empty for zeros
     grower: Grower
     ensembles: int
     classes: int
@@ -100,19 +102,21 @@ class Boosting:
         seed, share = self.options["seed"], self.options["subsample"]
         last: dict = {}
 
-        def weigh(batch: pa.RecordBatch, codes: np.ndarray, tree: int):
+        def weigh(block: Block, tree: int):
             e, c = divmod(tree, k)
-            if last.get("batch") is not batch:
-                *_, margins = staged_margins(batch, codes, recent, n, k)
-                last.update(batch=batch, p=softmax(margins), y=batch.column(1).to_numpy(zero_copy_only=False))
-                last.update(ids=batch.column(2).to_numpy(zero_copy_only=False), fold=batch.column(3).to_numpy(zero_copy_only=False))
-            inside = last["fold"] != e
-            if share < 1:
-                inside &= mix_rows(mix(seed, number, e, 11), last["ids"]) < share
-            seen = np.flatnonzero(inside)
-            p = last["p"][seen, e, c]
-            stats = np.ones((len(seen), 3), np.int64)
-            stats[:, 0] = np.rint((p - (last["y"][seen] == c)) / unit)
+            if last.get("block") is not block:
+                *_, margins = staged_margins(block, recent, n, k)
+                last.clear()
+                last.update(block=block, p=softmax(margins, 1))
+            if ("seen", e) not in last:
+                inside = block["_fold"] != e
+                if share < 1:
+                    inside &= mix_rows(mix(seed, number, e, 11), block["_id"]) < share
+                last["seen", e] = np.flatnonzero(inside)
+            seen = last["seen", e]
+            p = last["p"][e, c][seen]
+            stats = np.ones((3, len(seen)), np.int64).T
+            stats[:, 0] = np.rint((p - (block["_y"][seen] == c)) / unit)
             stats[:, 1] = np.rint(np.maximum(2 * p * (1 - p), 1e-16) / unit)
             return seen, stats
 
@@ -136,15 +140,11 @@ class Boosting:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((len(recent), n, 2), np.int64)
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                codes = unpacked_rows(batch.column(0), np.uint8, d)
-                y, fold = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 3))
-                for i, margins in enumerate(staged_margins(batch, codes, recent, n, k)):
+            for block in (x for batch in batches for x in blocks_of(batch, d)):
+                for i, margins in enumerate(staged_margins(block, recent, n, k)):
                     for e in range(n if i else 0):
-                        held = np.flatnonzero(fold == e)
-                        p = softmax(margins[held, e])[np.arange(len(held)), y[held]]
+                        held = np.flatnonzero(block["_fold"] == e)
+                        p = softmax(margins[e][:, held], 0)[block["_y"][held], np.arange(len(held))]
                         loss = np.rint(-np.log(np.maximum(p, 1e-15)) / (64 * unit))
                         sums[i - 1, e] += int(loss.sum()), len(held)
             for i in range(len(recent)):
@@ -165,10 +165,9 @@ class Boosting:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                if batch.num_rows:
-                    *_, margins = staged_margins(batch, unpacked_rows(batch.column(0), np.uint8, d), recent, n, k)
-                    packed = packed_rows(margins.reshape(batch.num_rows, -1))
-                    yield pa.RecordBatch.from_arrays([*batch.columns[:4], packed], names=batch.schema.names)
+                for i, block in enumerate(blocks_of(batch, d)):
+                    *_, margins = staged_margins(block, recent, n, k)
+                    yield pa.RecordBatch.from_arrays([*[c.slice(i, 1) for c in batch.columns[:4]], pa.array([margins.tobytes()], pa.binary())], names=batch.schema.names)
 
         self.data = cut_lineage(old.mapInArrow(run, old.schema)).persist()
         old.unpersist()
@@ -258,12 +257,10 @@ class SoftmaxBoosted(ColumnEstimator):
         bins = find_bins(df, cols, get("bins"))
         row_id = F.xxhash64(get("keyCol")) if self.isDefined("keyCol") else F.xxhash64(*cols, self.label())
         number = F.array_position(F.array(*[F.lit(k) for k in labels]), F.col(self.label())).cast("int") - 1
-        empty = F.lit(bytes(8 * ensembles * len(labels)))
-        keep = [number.alias("_y"), row_id.alias("_id"), fold.cast("int").alias("_fold"), empty.alias("_f")]
+        keep = [number.alias("_y"), row_id.alias("_id"), fold.cast("int").alias("_fold")]
         named = df.select(*[F.col(c).alias(f"_c{j}") for j, c in enumerate(cols)], *keep)
-        data = with_bins(named, [f"_c{j}" for j in range(len(cols))], bins, ["_y", "_id", "_fold", "_f"])
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        data = (data.repartition(cores) if data.rdd.getNumPartitions() < cores else data).persist()
+        data = with_bins(named, [f"_c{j}" for j in range(len(cols))], bins, ["_y", "_id", "_fold"])
+        data = laid_out(data.withColumn("_f", F.lit(b"")), count)
         slopes = Slopes(fixed_point(1.0, count), get("ridge"), get("leastGain"))
         rules = Rules(max_depth=get("maxDepth"), min_weight=float(get("minChildWeight")))
         return Boosting(data, Grower(bins, slopes, rules), ensembles, len(labels), options, [], [], [])

@@ -1,9 +1,9 @@
 """Decision trees grown level by level from histograms, for classes, numbers and gradients alike.
 
 Columns are cut into at most 255 bins once. For each level every task adds up its rows into histograms of the open nodes;
-these are summed and judged per (tree, node, column) in groups, and one row for each of them reaches the driver, which
-picks the splits. Nodes of few rows leave the levels: their rows are gathered by node, some thousand a group, and finished
-in the tasks, to any depth. With a limit on leaves, nodes open best first instead.
+these are summed and judged per (tree, node), in groups or, if they are few, on the driver; one split for each of them
+grows the tree. Rows are kept in blocks, their bins column by column. Nodes that fit a task's memory leave the levels: their
+rows are gathered by node and finished there, level by level, to any depth. With a limit on leaves, nodes open best first.
 
 All statistics are whole numbers (numbers and gradients in fixed point) and all draws are hashes of the row, so a tree does
 not depend on how the rows lie, nor on the cores. Ties go to the first column, then to the lowest cut.
@@ -25,8 +25,12 @@ from pyspark.sql import types as T
 from tabforge.operators.ranking import exact_quantiles
 
 MAX_BINS = 255  # bin numbers are bytes
-SMALL_NODE = 4_096  # rows; such nodes are finished in one group each
+SMALL_NODE = 1 << 19  # rows; such nodes are finished in one group each
 HISTOGRAM_BYTES = 1 << 27  # of one task in one pass
+DRIVER_BYTES = 1 << 25  # histograms of all tasks that are summed on the driver
+FINISH_BYTES = 1 << 25  # histograms at a time where a node is finished
+PACKED = 1 << 26  # two sums below this fit one float
+ROWS_A_PART = 500_000
 TREES_AT_ONCE = 16
 MASK = (1 << 64) - 1
 
@@ -80,11 +84,11 @@ class Bins:
         return max(map(len, self.uppers))
 
     def codes(self, columns: Sequence[np.ndarray]) -> np.ndarray:
-        """Bin numbers, a row for each row. Values above the last end fall in the last bin."""
-        out = np.empty((len(columns[0]), len(columns)), np.uint8)
+        """Bin numbers, a row for each row (laid out by column). Values above the last end fall in the last bin."""
+        out = np.empty((len(columns), len(columns[0])), np.uint8)
         for j, (x, ends) in enumerate(zip(columns, self.uppers)):
-            out[:, j] = np.minimum(np.searchsorted(ends, x), len(ends) - 1)
-        return out
+            out[j] = np.minimum(np.searchsorted(ends, x), len(ends) - 1)
+        return out.T
 
     def threshold(self, column: int, cut: int, after: int) -> float:
         """The value that parts bin ``cut`` from ``after``, the next one with rows in the node."""
@@ -109,38 +113,49 @@ def find_bins(df: DataFrame, cols: Sequence[str], bins: int = MAX_BINS) -> Bins:
         at = [j for j, values in enumerate(seen) for _ in values]
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([v for s in seen for v in s], pa.float64())], names=["at", "value"])
 
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    values = numbers.mapInArrow(run, "at int, value double").groupBy("at").agg(F.collect_set("value").alias("values"))
-    found = {r["at"]: sorted(r["values"]) for r in values.withColumn("values", F.slice("values", 1, bins + 1)).collect()}
-    many = [c for j, c in enumerate(cols) if len(found.get(j, ())) > bins]
-    cuts = exact_quantiles(numbers, many, [i / bins for i in range(1, bins + 1)]) if many else {}
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist()
+    try:
+        values = numbers.mapInArrow(run, "at int, value double").groupBy("at").agg(F.collect_set("value").alias("values"))
+        found = {r["at"]: sorted(r["values"]) for r in values.withColumn("values", F.slice("values", 1, bins + 1)).collect()}
+        many = [c for j, c in enumerate(cols) if len(found.get(j, ())) > bins]
+        cuts = exact_quantiles(numbers, many, [i / bins for i in range(1, bins + 1)]) if many else {}
+    finally:
+        numbers.unpersist()
     uppers = [sorted(set(cuts[c])) if c in cuts else found.get(j, [0.0]) for j, c in enumerate(cols)]
     return Bins(uppers, [c not in cuts for c in cols])
 
 
+#: Columns of a block, by name: the bins of all columns (a row for each), and what was kept beside them.
+Block = dict[str, np.ndarray]
+
+
 def with_bins(df: DataFrame, cols: Sequence[str], bins: Bins, keep: Sequence[str]) -> DataFrame:
-    """``_bins``, one byte a column, and the columns of ``keep``."""
-    kept = df.select(*keep).schema.fields
-    schema = T.StructType([T.StructField("_bins", T.BinaryType()), *kept])
+    """Blocks of rows: a row holds ``_bins``, one byte a value, column after column, and the whole numbers of ``keep``, as bytes."""
+    schema = T.StructType([T.StructField(n, T.BinaryType()) for n in ("_bins", *keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = bins.codes([c.to_numpy(zero_copy_only=False) for c in batch.columns[: len(cols)]])
-            yield pa.RecordBatch.from_arrays([packed_rows(codes), *batch.columns[len(cols) :]], names=schema.names)
+            if batch.num_rows:
+                numbers = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+                kept = [x.astype(np.int64).tobytes() for x in numbers[len(cols) :]]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (bins.codes(numbers[: len(cols)]).T.tobytes(), *kept)], names=schema.names)
 
     return df.select(*[F.col(c).cast("double").alias(f"_x{j}") for j, c in enumerate(cols)], *keep).mapInArrow(run, schema)
 
 
-def packed_rows(matrix: np.ndarray) -> pa.Array:
-    """Each row of a matrix as bytes."""
-    matrix = np.ascontiguousarray(matrix)
-    width = matrix.itemsize * matrix.shape[1]
-    ends = np.arange(len(matrix) + 1, dtype=np.int32) * width
-    return pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(ends), pa.py_buffer(matrix)])
+def laid_out(blocks: DataFrame, rows: int) -> DataFrame:
+    """Blocks in parts of bounded size, kept; at least a part for each core."""
+    parts, cores = blocks.rdd.getNumPartitions(), blocks.sparkSession.sparkContext.defaultParallelism
+    wanted = max(cores, -(-rows // ROWS_A_PART))
+    return (blocks.repartition(wanted) if parts < wanted else blocks).persist()
 
 
-def unpacked_rows(column: pa.Array, kind, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), width)
+def blocks_of(batch: pa.RecordBatch, d: int) -> Iterator[Block]:
+    """The blocks of a batch; ``_bins`` has a row for each of ``d`` columns, ``_f`` holds floats."""
+    for i in range(batch.num_rows):
+        block = {n: np.frombuffer(batch.column(n)[i].as_buffer(), np.uint8 if n == "_bins" else float if n == "_f" else np.int64) for n in batch.schema.names}
+        block["_bins"] = block["_bins"].reshape(d, -1)
+        yield block
 
 
 # ---------------------------------------------------------------- what a split is worth
@@ -281,10 +296,10 @@ class Grower:
     objective: Counts | Sums | Slopes
     rules: Rules
 
-    def candidates(self, hist: np.ndarray, columns: Sequence[int], seed: int) -> list[np.ndarray]:
+    def candidates(self, hist: np.ndarray, columns: Sequence[int], seeds: Sequence[int]) -> list[np.ndarray]:
         """Best cut of each column: score, cut, next bin with rows, statistics left of it, whether there are two values.
 
-        ``hist`` has a row for each of ``columns``, then bins, then statistics.
+        ``hist`` has a row for each of ``columns``, then bins, then statistics; ``seeds`` are those of the rows' nodes.
         """
         rows = hist[..., -1]
         held = rows > 0
@@ -293,7 +308,7 @@ class Grower:
         ok = held & (right[..., -1] > 0)
         at = np.arange(hist.shape[1])
         if self.rules.random_cuts:
-            ok &= at == self._drawn(held, columns, seed)[:, None]
+            ok &= at == self._drawn(held, columns, seeds)[:, None]
         for side in (left, right):
             ok &= (side[..., -1] >= self.rules.min_leaf) & (self.objective.weight(side) >= self.rules.min_weight)
         score = np.where(ok, self.objective.worth(left) + self.objective.worth(right), -np.inf)
@@ -302,16 +317,27 @@ class Grower:
         pick = np.arange(len(hist))
         return [score[pick, cut], cut, after, left[pick, cut], held.sum(axis=1) > 1]
 
-    def _drawn(self, held: np.ndarray, columns: Sequence[int], seed: int) -> np.ndarray:
-        out = np.zeros(len(held), np.int64)
-        for i, column in enumerate(columns):
+    def _drawn(self, held: np.ndarray, columns: Sequence[int], seeds: Sequence[int]) -> np.ndarray:
+        out, uppers = np.zeros(len(held), np.int64), [np.array(x) for x in self.bins.uppers]
+        for i, (column, seed) in enumerate(zip(columns, seeds)):
             at = np.flatnonzero(held[i])
             if len(at) > 1:
-                ends = np.array(self.bins.uppers[column])[at]
+                ends = uppers[column][at]
                 value = ends[0] + uniform(seed, column, 1) * (ends[-1] - ends[0])
                 out[i] = at[min(np.searchsorted(ends, value, side="right"), len(at) - 1) - 1]
         return out
 
+    def chosen(self, hists: np.ndarray, columns: Sequence[int], seeds: Sequence[int], totals: np.ndarray) -> list[tuple | None]:
+        """``choose`` for several nodes; ``hists`` has a row for each node, then one for each of ``columns``."""
+        nodes, d = hists.shape[:2]
+        flat = hists.reshape(nodes * d, *hists.shape[2:])
+        score, cut, after, left, varies = self.candidates(flat, list(columns) * nodes, [s for s in seeds for _ in range(d)])
+        out = []
+        for i, (seed, total) in enumerate(zip(seeds, totals)):
+            own = range(i * d, (i + 1) * d)
+            out.append(self.choose([(c, score[r], cut[r], after[r], left[r], varies[r]) for c, r in zip(columns, own)], total, seed))
+        return out
+
     def choose(self, found: list[tuple], total: np.ndarray, seed: int) -> tuple | None:
         """(gain, column, cut, threshold, left) of the node, or None. ``found`` has (column, score, cut, next, left, varies).
 
@@ -376,118 +402,220 @@ class Tree:
             if other.feature[i] >= 0:
                 self.left[to], self.right[to] = other.left[i] + shift, other.right[i] + shift
 
-    def router(self) -> tuple[np.ndarray, ...]:
-        return tuple(np.array(x, np.int32) for x in (self.feature, self.cut, self.left, self.right))
+    def router(self) -> Router:
+        return Router(*(np.array(x, np.int32) for x in (self.feature, self.cut, self.left, self.right)))
 
 
-def routed(router: tuple[np.ndarray, ...], codes: np.ndarray) -> np.ndarray:
-    """The node where each row ends."""
-    feature, cut, left, right = router
-    node = np.zeros(len(codes), np.int32)
-    moving = np.arange(len(codes))
+@dataclass
+class Router:
+    """What tells where a row ends. With up to 64 leaves, a table for each column has the leaves that a bin leaves open, as bits
+    from left to right; the first bit in all of a row's entries is its leaf (Lucchese et al. 2015)."""
+
+    feature: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    tables: list[tuple[int, np.ndarray]] | None = None
+    leaves: np.ndarray | None = None
+
+    def __post_init__(self):
+        inner, leaves, below = [], [], {}
+        todo = [(0, False)]
+        while todo and len(leaves) <= 64:
+            node, closed = todo.pop()
+            if self.feature[node] < 0:
+                below[node] = 1 << len(leaves)
+                leaves.append(node)
+            elif closed:
+                below[node] = below[self.left[node]] | below[self.right[node]]
+                inner.append(node)
+            else:
+                todo += [(node, True), (int(self.right[node]), False), (int(self.left[node]), False)]
+        if len(leaves) <= 64:
+            tables: dict[int, np.ndarray] = {}
+            for node in inner:
+                table = tables.setdefault(int(self.feature[node]), np.full(256, MASK, np.uint64))
+                table[self.cut[node] + 1 :] &= np.uint64(MASK ^ below[self.left[node]])
+            self.tables, self.leaves = sorted(tables.items()), np.array(leaves, np.int32)
+
+    def __len__(self) -> int:
+        return len(self.feature)
+
+
+def routed(router: Router, codes: np.ndarray) -> np.ndarray:
+    """The node where each row ends. ``codes`` has a row for each column."""
+    n = codes.shape[1]
+    if router.tables is not None:
+        open_ = None
+        for column, table in router.tables:
+            own = table.take(codes[column])
+            open_ = own if open_ is None else np.bitwise_and(open_, own, out=open_)
+        if open_ is None:
+            return np.full(n, router.leaves[0])
+        open_ &= ~open_ + np.uint64(1)
+        return router.leaves.take(np.frexp(open_.astype(float))[1] - 1)
+    feature, cut, left, right = router.feature, router.cut, router.left, router.right
+    flat = np.ascontiguousarray(codes).reshape(-1)
+    node = np.zeros(n, np.int32)
+    moving = np.arange(n)
     while len(moving):
         at = node[moving]
-        inner = feature[at] >= 0
-        moving, at = moving[inner], at[inner]
-        node[moving] = np.where(codes[moving, feature[at]] <= cut[at], left[at], right[at])
+        column = feature[at]
+        inner = column >= 0
+        if not inner.all():
+            moving, at, column = moving[inner], at[inner], column[inner]
+        node[moving] = np.where(flat[column.astype(np.int64) * n + moving] <= cut[at], left[at], right[at])
     return node
 
 
+def _summands(stats: np.ndarray) -> list[tuple[np.ndarray, list[tuple[int, int]]]] | None:
+    """Weights whose sums as floats are exact, and for each the statistics it holds with their factors. None if there are none.
+
+    Two small sums share a weight, a large one is cut in two.
+    """
+    n, small, out = len(stats), [], []
+    for s in range(stats.shape[1]):
+        column = stats[:, s]
+        lo, hi = (int(column.min()), int(column.max())) if n else (0, 0)
+        most = max(-lo, hi) * n
+        if lo >= 0 and most < PACKED:
+            small.append(s)
+        elif most < 1 << 53:
+            out.append((column.astype(float), [(s, 1)]))
+        elif most >> 26 < 1 << 52 and n < PACKED:
+            out += [((column >> 26).astype(float), [(s, PACKED)]), ((column & (PACKED - 1)).astype(float), [(s, 1)])]
+        else:
+            return None
+    for pair in (small[i : i + 2] for i in range(0, len(small), 2)):
+        out.append((sum(stats[:, s].astype(float) * f for s, f in zip(pair, (1, PACKED))), [(s, 0) for s in pair]))
+    return out
+
+
 def histograms(codes: np.ndarray, slots: np.ndarray, stats: np.ndarray, slot_count: int, bins: int) -> np.ndarray:
-    """Sums of the statistics by slot, column, bin."""
-    out = np.empty((slot_count, codes.shape[1], bins, stats.shape[1]), np.int64)
-    for j in range(codes.shape[1]):
-        at = slots * bins + codes[:, j]
-        for s in range(stats.shape[1]):
-            # Exact: the sums of a batch stay below 2^53 or are taken as whole numbers.
-            column = stats[:, s]
-            if np.abs(column).max(initial=0) * len(column) < 1 << 53:
-                sums = np.bincount(at, column, slot_count * bins).astype(np.int64)
+    """Sums of the statistics by slot, column, bin. ``codes`` has a row for each column."""
+    out, size = np.zeros((slot_count, len(codes), bins, stats.shape[1]), np.int64), slot_count * bins
+    parts, base = _summands(stats), slots * bins
+    for j in range(len(codes)):
+        at = base + codes[j]
+        if parts is None:
+            for s in range(stats.shape[1]):
+                sums = np.zeros(size, np.int64)
+                np.add.at(sums, at, stats[:, s])
+                out[:, j, :, s] = sums.reshape(slot_count, bins)
+            continue
+        for weight, held in parts:
+            sums = np.bincount(at, weight, size).astype(np.int64).reshape(slot_count, bins)
+            if held[0][1]:
+                out[:, j, :, held[0][0]] += sums * held[0][1]
             else:
-                sums = np.zeros(slot_count * bins, np.int64)
-                np.add.at(sums, at, column)
-            out[:, j, :, s] = sums.reshape(slot_count, bins)
+                out[:, j, :, held[0][0]] = sums & (PACKED - 1)
+                if len(held) > 1:
+                    out[:, j, :, held[1][0]] = sums >> 26
     return out
 
 
 def grow_here(grower: Grower, codes: np.ndarray, stats: np.ndarray, depth: int, seed: int) -> Tree:
-    """A whole tree from rows in memory, node by node."""
-    tree = Tree(seed)
-    columns, width = range(codes.shape[1]), grower.bins.widest
-    todo = [(tree.add(stats.sum(axis=0), depth, seed), np.arange(len(codes)))]
-    while todo:
-        node, rows = todo.pop()
-        total = tree.stats[node]
-        if grower.final(total, tree.depth[node]):
-            continue
-        hist = histograms(codes[rows], np.zeros(len(rows), np.int64), stats[rows], 1, width)[0]
-        found = list(zip(columns, *grower.candidates(hist, columns, tree.seeds[node])))
-        chosen = grower.choose(found, total, tree.seeds[node])
-        if chosen is None:
-            continue
-        pair = tree.split(node, chosen)
-        goes = codes[rows, chosen[1]] <= chosen[2]
-        todo += [(pair[0], rows[goes]), (pair[1], rows[~goes])]
-    tree.depth = [d - depth for d in tree.depth]
+    """A whole tree from rows in memory, level by level; rows of finished nodes are dropped."""
+    tree, d, width = Tree(seed), len(codes), grower.bins.widest
+    open_ = [tree.add(stats.sum(axis=0), depth, seed)]
+    open_ = [n for n in open_ if not grower.final(tree.stats[n], depth)]
+    slots, each = np.zeros(len(stats), np.int64), max(1, FINISH_BYTES // (8 * d * width * stats.shape[1]))
+    while open_:
+        feature, cut, to = np.zeros(len(open_), np.int64), np.zeros(len(open_), np.int64), np.full((len(open_), 2), -1, np.int64)
+        after: list[int] = []
+        for start in range(0, len(open_), each):
+            nodes = open_[start : start + each]
+            if len(open_) > each:
+                here = np.flatnonzero((slots >= start) & (slots < start + each))
+                hists = histograms(codes[:, here], slots[here] - start, stats[here], len(nodes), width)
+            else:
+                hists = histograms(codes, slots, stats, len(nodes), width)
+            splits = grower.chosen(hists, range(d), [tree.seeds[n] for n in nodes], [tree.stats[n] for n in nodes])
+            for i, (node, split) in enumerate(zip(nodes, splits), start):
+                if split is not None:
+                    feature[i], cut[i] = split[1], split[2]
+                    for side, child in enumerate(tree.split(node, split)):
+                        if not grower.final(tree.stats[child], tree.depth[child]):
+                            to[i, side] = len(after)
+                            after.append(child)
+        values = codes.reshape(-1)[feature[slots] * codes.shape[1] + np.arange(codes.shape[1])]
+        slots = to.reshape(-1)[2 * slots + (values > cut[slots])]
+        stay = np.flatnonzero(slots >= 0)
+        codes, stats, slots, open_ = np.ascontiguousarray(codes[:, stay]), stats[stay], slots[stay], after
+    tree.depth = [x - depth for x in tree.depth]
     return tree
 
 
 # ---------------------------------------------------------------- growing over all rows
 
-#: From a batch, its bins and the number of a tree: which rows the tree sees (None: all), and their statistics.
-Weigh = Callable[[pa.RecordBatch, np.ndarray, int], tuple[np.ndarray | None, np.ndarray]]
+#: From a block and the number of a tree: which rows the tree sees (None: all), and their statistics.
+Weigh = Callable[[Block, int], tuple[np.ndarray | None, np.ndarray]]
 
 
-def _judged(rows: DataFrame, grower: Grower, weigh: Weigh, open_: dict[int, tuple], d: int) -> dict:
-    """For each tree and open node, its total and what ``choose`` needs, from one pass over the rows.
+def _judged(rows: DataFrame, grower: Grower, weigh: Weigh, open_: dict[int, tuple], d: int, parts: int) -> dict:
+    """Total and split (or None) of each open node of each tree, from one pass over the rows.
 
-    ``open_`` has (router, nodes, seeds) by tree number.
+    ``open_`` has (router, nodes, seeds, depths, columns) by tree number.
     """
     bins, width = grower.bins.widest, grower.objective.width
-    schema = "tree int, slot int, feature int, hist binary"
+    schema = "tree int, slot int, hist binary"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {t: np.zeros((len(nodes), d, bins, width), np.int64) for t, (_, nodes, _) in open_.items()}
+        sums = {t: np.zeros((len(nodes), len(use), bins, width), np.int64) for t, (_, nodes, _, _, use) in open_.items()}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            codes = unpacked_rows(batch.column(0), np.uint8, d)
-            for t, (router, nodes, _) in open_.items():
-                seen, stats = weigh(batch, codes, t)
-                own = codes if seen is None else codes[seen]
-                slot_of = np.full(len(router[0]), -1, np.int64)
-                slot_of[nodes] = np.arange(len(nodes))
-                slots = slot_of[routed(router, own)]
-                here = slots >= 0
-                sums[t] += histograms(own[here], slots[here], stats[here], len(nodes), bins)
+            for block in blocks_of(batch, d):
+                for t, (router, nodes, _, _, use) in open_.items():
+                    codes = block["_bins"]
+                    seen, stats = weigh(block, t)
+                    if seen is not None:
+                        codes = codes[:, seen]
+                    slots = np.zeros(len(stats), np.int64)
+                    if len(router) > 1:
+                        slot_of = np.full(len(router), -1, np.int64)
+                        slot_of[nodes] = np.arange(len(nodes))
+                        slots = slot_of[routed(router, codes)]
+                        here = np.flatnonzero(slots >= 0)
+                        if len(here) < len(slots):
+                            codes, slots, stats = codes[:, here], slots[here], stats[here]
+                    sums[t] += histograms(codes if len(use) == d else codes[use], slots, stats, len(nodes), bins)
         for t, hist in sums.items():
-            used = np.flatnonzero(hist[:, 0, :, -1].any(axis=1))
-            for slot in used:
-                names = ["tree", "slot", "feature", "hist"]
-                heads = [pa.array(np.full(d, x, np.int32)) for x in (t, slot)]
-                yield pa.RecordBatch.from_arrays([*heads, pa.array(np.arange(d, dtype=np.int32)), packed_rows(hist[slot].reshape(d, -1))], names=names)
-
-    out = "tree int, slot int, feature int, score double, cut int, after int, lower binary, varies boolean, total binary"
-
-    def judge(table: pa.Table) -> pa.Table:
-        t, slot, feature = (table[c][0].as_py() for c in ("tree", "slot", "feature"))
-        hist = sum(np.frombuffer(h.as_py(), np.int64) for h in table["hist"]).reshape(1, bins, width)
-        score, cut, after, left, varies = grower.candidates(hist, [feature], int(open_[t][2][slot]))
-        row = [t, slot, feature, float(score[0]), int(cut[0]), int(after[0]), left[0].tobytes(), bool(varies[0]), hist[0].sum(axis=0).tobytes()]
-        names = [f.split()[0] for f in out.split(", ")]
-        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_(), pa.binary()]
-        return pa.table({n: pa.array([v], k) for n, v, k in zip(names, row, kinds)})
-
-    found: dict = {}
-    for r in rows.mapInArrow(count, schema).groupBy("tree", "slot", "feature").applyInArrow(judge, out).collect():
-        node = open_[r["tree"]][1][r["slot"]]
-        at = found.setdefault((r["tree"], int(node)), {"total": np.frombuffer(r["total"], np.int64), "found": []})
-        at["found"].append((r["feature"], r["score"], r["cut"], r["after"], np.frombuffer(r["lower"], np.int64), r["varies"]))
+            for slot in np.flatnonzero(hist[:, 0, :, -1].any(axis=1)):
+                row = [pa.array([t], pa.int32()), pa.array([slot], pa.int32()), pa.array([hist[slot].tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(row, names=["tree", "slot", "hist"])
+
+    def judge(t: int, slot: int, hists: Sequence[bytes]) -> tuple[np.ndarray, tuple | None]:
+        _, _, seeds, depths, use = open_[t]
+        hist = sum(np.frombuffer(h, np.int64) for h in hists).reshape(1, len(use), bins, width)
+        total = hist[0, 0].sum(axis=0)
+        return total, None if grower.final(total, depths[slot]) else grower.chosen(hist, use, [seeds[slot]], [total])[0]
+
+    counted = rows.mapInArrow(count, schema)
+    size = sum(8 * len(nodes) * len(use) * bins * width for _, nodes, _, _, use in open_.values())
+    if size * parts <= DRIVER_BYTES:
+        hists: dict = {}
+        for r in counted.collect():
+            hists.setdefault((r["tree"], r["slot"]), []).append(r["hist"])
+        return {(t, int(open_[t][1][slot])): judge(t, slot, h) for (t, slot), h in hists.items()}
+
+    def judge_group(table: pa.Table) -> pa.Table:
+        t, slot = table["tree"][0].as_py(), table["slot"][0].as_py()
+        total, split = judge(t, slot, [h.as_buffer() for h in table["hist"]])
+        gain, column, cut, threshold, left = split or (0.0, -1, 0, 0.0, total)
+        values = [t, slot, total.tobytes(), float(gain), int(column), int(cut), float(threshold), left.tobytes()]
+        return pa.table({n: pa.array([v], k) for n, v, k in zip(names, values, kinds)})
+
+    out = "tree int, slot int, total binary, gain double, column int, cut int, threshold double, lower binary"
+    names = [f.split()[0] for f in out.split(", ")]
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.float64(), pa.int32(), pa.int32(), pa.float64(), pa.binary()]
+    found = {}
+    for r in counted.groupBy("tree", "slot").applyInArrow(judge_group, out).collect():
+        split = (r["gain"], r["column"], r["cut"], r["threshold"], np.frombuffer(r["lower"], np.int64)) if r["column"] >= 0 else None
+        found[r["tree"], int(open_[r["tree"]][1][r["slot"]])] = (np.frombuffer(r["total"], np.int64), split)
     return found
 
 
 def _evaluate(
-    rows: DataFrame, grower: Grower, weigh: Weigh, trees: dict[int, Tree], wanted: list[tuple[int, int]], d: int, columns: dict | None
+    rows: DataFrame, grower: Grower, weigh: Weigh, trees: dict[int, Tree], wanted: list[tuple[int, int]], d: int, columns: dict | None, parts: int
 ) -> None:
     """Split the wanted nodes (tree, node) where that is allowed, in as many passes as memory asks for."""
     each = max(1, HISTOGRAM_BYTES // (8 * d * grower.bins.widest * grower.objective.width))
@@ -495,16 +623,31 @@ def _evaluate(
         open_ = {}
         for t in sorted({t for t, _ in wanted[at : at + each]}):
             nodes = np.array([n for u, n in wanted[at : at + each] if u == t], np.int64)
-            open_[t] = (trees[t].router(), nodes, [trees[t].seeds[n] for n in nodes])
-        found = _judged(rows, grower, weigh, open_, d)
-        for (t, node), what in sorted(found.items()):
-            tree = trees[t]
-            tree.stats[node] = what["total"]
-            if not grower.final(what["total"], tree.depth[node]):
-                usable = sorted((f for f in what["found"] if columns is None or f[0] in columns[t]), key=lambda f: f[0])
-                chosen = grower.choose(usable, what["total"], tree.seeds[node])
-                if chosen is not None:
-                    tree.split(node, chosen)
+            use = list(range(d)) if columns is None else sorted(columns[t])
+            open_[t] = (trees[t].router(), nodes, [trees[t].seeds[n] for n in nodes], [trees[t].depth[n] for n in nodes], use)
+        for (t, node), (total, split) in sorted(_judged(rows, grower, weigh, open_, d, parts).items(), key=lambda x: x[0]):
+            trees[t].stats[node] = total
+            if split is not None:
+                trees[t].split(node, split)
+
+
+def _shrunk(stats: np.ndarray) -> bytes:
+    """Statistics column by column, each in as few bytes as hold it."""
+    out = []
+    for s in range(stats.shape[1]):
+        column = stats[:, s]
+        kind = next(k for k in ("i1", "i2", "i4", "i8") if not len(column) or np.iinfo(k).min <= column.min() and column.max() <= np.iinfo(k).max)
+        out += [kind[1].encode(), column.astype(kind).tobytes()]
+    return b"".join(out)
+
+
+def _unshrunk(data: bytes, n: int, width: int) -> np.ndarray:
+    stats, at = np.empty((n, width), np.int64), 0
+    for s in range(width):
+        size = int(data[at : at + 1])
+        stats[:, s] = np.frombuffer(data, f"i{size}", n, at + 1)
+        at += 1 + size * n
+    return stats
 
 
 def _finish_small(rows: DataFrame, grower: Grower, weigh: Weigh, trees: dict[int, Tree], small: dict[int, list[int]], d: int) -> None:
@@ -515,28 +658,34 @@ def _finish_small(rows: DataFrame, grower: Grower, weigh: Weigh, trees: dict[int
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            codes = unpacked_rows(batch.column(0), np.uint8, d)
-            for t, (router, nodes) in starts.items():
-                seen, stats = weigh(batch, codes, t)
-                own = codes if seen is None else codes[seen]
-                at = routed(router, own)
-                here = np.isin(at, nodes)
-                columns = [pa.array(np.full(here.sum(), t, np.int32)), pa.array(at[here].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays([*columns, packed_rows(own[here]), packed_rows(stats[here])], names=["tree", "node", "codes", "stats"])
+            for block in blocks_of(batch, d):
+                for t, (router, nodes) in starts.items():
+                    codes = block["_bins"]
+                    seen, stats = weigh(block, t)
+                    if seen is not None:
+                        codes = codes[:, seen]
+                    at = routed(router, codes)
+                    order = np.argsort(at, kind="stable")
+                    lo, hi = np.searchsorted(at[order], nodes), np.searchsorted(at[order], nodes, side="right")
+                    made = [(int(n), order[a:b]) for n, a, b in zip(nodes, lo, hi) if b > a]
+                    if made:
+                        fields = [[t] * len(made), [n for n, _ in made], [codes[:, x].tobytes() for _, x in made], [_shrunk(stats[x]) for _, x in made]]
+                        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+                        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(fields, kinds)], names=["tree", "node", "codes", "stats"])
 
     def finish(table: pa.Table) -> pa.Table:
         t, node = table["tree"][0].as_py(), table["node"][0].as_py()
-        codes = unpacked_rows(table["codes"].combine_chunks(), np.uint8, d)
-        stats = unpacked_rows(table["stats"].combine_chunks(), np.int64, width)
-        tree = grow_here(grower, codes, stats, *about[t, node])
+        codes = [np.frombuffer(c.as_buffer(), np.uint8).reshape(d, -1) for c in table["codes"]]
+        stats = [_unshrunk(s.as_py(), c.shape[1], width) for s, c in zip(table["stats"], codes)]
+        tree = grow_here(grower, np.concatenate(codes, axis=1), np.concatenate(stats), *about[t, node])
         numbers = np.array([tree.feature, tree.cut, tree.left, tree.right, tree.depth], np.int32)
         fields = [numbers.tobytes(), np.array([tree.gain, tree.threshold]).tobytes(), np.array(tree.stats, np.int64).tobytes()]
         packed = {n: pa.array([v], pa.binary()) for n, v in zip(("numbers", "gains", "stats"), fields)}
         return pa.table({"tree": table["tree"][:1], "node": table["node"][:1], **packed})
 
-    moved = rows.mapInArrow(gather, "tree int, node long, codes binary, stats binary")
+    # Groups are few and long: some parts for each core, whatever their bytes.
+    parts = min(len(about) * 2, 16 * rows.sparkSession.sparkContext.defaultParallelism)
+    moved = rows.mapInArrow(gather, "tree int, node long, codes binary, stats binary").repartition(max(1, parts), "tree", "node")
     subtrees = moved.groupBy("tree", "node").applyInArrow(finish, "tree int, node long, numbers binary, gains binary, stats binary")
     for r in sorted(subtrees.collect(), key=lambda r: (r["tree"], r["node"])):
         feature, cut, left, right, depth = np.frombuffer(r["numbers"], np.int32).reshape(5, -1).tolist()
@@ -581,14 +730,14 @@ def _prune(tree: Tree, split: set[int]) -> None:
 def grow(
     rows: DataFrame, grower: Grower, weigh: Weigh, seeds: dict[int, int], d: int, columns: dict[int, set[int]] | None = None
 ) -> dict[int, Tree]:
-    """One tree for each number in ``seeds``. The first column of ``rows`` is ``_bins``; keep them persisted.
+    """One tree for each number in ``seeds``. ``rows`` are blocks as of ``with_bins``; keep them persisted.
 
     ``columns`` names the columns each tree may use; such trees are grown by levels to the end.
     """
     trees = {t: Tree(s) for t, s in seeds.items()}
     for t, tree in trees.items():
         tree.add(np.zeros(grower.objective.width, np.int64), 0, seeds[t])
-    rules = grower.rules
+    rules, parts = grower.rules, rows.rdd.getNumPartitions()
     if rules.max_leaves is not None:
         asked: dict[int, set[int]] = {t: set() for t in trees}
         while True:
@@ -601,14 +750,14 @@ def grow(
                         wanted.append((t, n))
             if not wanted and not any(_best_first(tree, rules.max_leaves, asked[t])[1] for t, tree in trees.items()):
                 break
-            _evaluate(rows, grower, weigh, trees, wanted, d, columns)
+            _evaluate(rows, grower, weigh, trees, wanted, d, columns, parts)
         for t, tree in trees.items():
             _prune(tree, _best_first(tree, rules.max_leaves, asked[t])[0])
         return trees
     open_ = [(t, 0) for t in trees]
     small: dict[int, list[int]] = {}
     while open_:
-        _evaluate(rows, grower, weigh, trees, open_, d, columns)
+        _evaluate(rows, grower, weigh, trees, open_, d, columns, parts)
         after = [(t, c) for t, n in open_ if trees[t].feature[n] >= 0 for c in (trees[t].left[n], trees[t].right[n])]
         after = [(t, c) for t, c in after if not grower.final(trees[t].stats[c], trees[t].depth[c])]
         least = SMALL_NODE if columns is None else 0

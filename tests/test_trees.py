@@ -263,3 +263,48 @@ def test_boosting_stops_and_saves(spark, tmp_path):
     PipelineModel([model]).write().save(str(tmp_path / "m"))
     again = PipelineModel.load(str(tmp_path / "m")).stages[0]
     assert isinstance(again, SoftmaxModel) and again.fitted() == model.fitted()
+
+
+def test_short_routes_end_where_long_ones_do():
+    """Bit tables of small trees against walking from node to node."""
+    rng = np.random.default_rng(3)
+    codes = rng.integers(0, 255, (4, 5000)).astype(np.uint8)
+    for leaves in (1, 2, 7, 64, 65):
+        tree, open_ = G.Tree(1), [0]
+        tree.add(np.zeros(3, np.int64), 0, 1)
+        while len(open_) < leaves:
+            node = open_.pop(int(rng.integers(len(open_))))
+            open_ += tree.split(node, (1.0, int(rng.integers(4)), int(rng.integers(255)), 0.5, np.zeros(3, np.int64)))
+        router = tree.router()
+        assert (router.tables is None) == (leaves > 64)
+        got, router.tables = G.routed(router, codes), None
+        assert (got == G.routed(router, codes)).all()
+
+
+def test_sums_are_exact_whatever_their_size():
+    rng = np.random.default_rng(4)
+    codes, slots = rng.integers(0, 9, (2, 4000)).astype(np.uint8), rng.integers(0, 3, 4000)
+    for top in (1, 2**12, 2**20, 2**38, 2**46, 2**60):
+        stats = np.stack([rng.integers(-top, top, 4000) // (4000 if top > 2**50 else 1), rng.integers(0, 2, 4000), np.ones(4000, np.int64)], axis=1)
+        want = np.zeros((3, 2, 9, 3), np.int64)
+        for j in range(2):
+            np.add.at(want[:, j], (slots, codes[j]), stats)
+        assert (G.histograms(codes, slots, stats, 3, 9) == want).all()
+
+
+@pytest.mark.parametrize("driver", [0, 1 << 25])
+def test_fit_starts_few_jobs(spark, monkeypatch, driver):
+    """The jobs of a fit do not grow with the rows; the trees are the same wherever nodes are judged."""
+    monkeypatch.setattr("tabforge.operators.ranking.ROWS_PER_BUCKET", 50)
+    monkeypatch.setattr(G, "DRIVER_BYTES", driver)
+    monkeypatch.setattr(G, "SMALL_NODE", 500)
+    df, sc = made(spark).cache(), spark.sparkContext
+    sc.setJobGroup(f"bins{driver}", "")
+    bins = G.find_bins(df.dropna().where("not isnan(b)"), COLS)
+    sc.setJobGroup(f"rest{driver}", "")
+    assert not bins.exact[2] and len(sc.statusTracker().getJobIdsForGroup(f"bins{driver}")) < 30
+    trees = extra_forest(COLS, trees=3, minLeaf=3).fit(df).fitted()["trees"]
+    assert trees == _fits.setdefault("trees", trees)
+
+
+_fits: dict = {}
