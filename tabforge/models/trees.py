@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from tabforge.operators.ranking import exact_quantiles
 
 MAX_BINS = 255  # bin numbers are bytes
-SMALL_NODE = 1 << 19  # rows; such nodes are finished in one group each
+SMALL_NODE = 1 << 20  # rows; such nodes are finished in one group each
 HISTOGRAM_BYTES = 1 << 27  # of one task in one pass
 DRIVER_BYTES = 1 << 25  # histograms of all tasks that are summed on the driver
 FINISH_BYTES = 1 << 25  # histograms at a time where a node is finished
@@ -631,17 +631,13 @@ def _evaluate(
                 trees[t].split(node, split)
 
 
-def _shrunk(stats: np.ndarray) -> bytes:
-    """Statistics column by column, each in as few bytes as hold it."""
-    out = []
-    for s in range(stats.shape[1]):
-        column = stats[:, s]
-        kind = next(k for k in ("i1", "i2", "i4", "i8") if not len(column) or np.iinfo(k).min <= column.min() and column.max() <= np.iinfo(k).max)
-        out += [kind[1].encode(), column.astype(kind).tobytes()]
-    return b"".join(out)
+def _smallest(column: np.ndarray) -> np.ndarray:
+    """Whole numbers in as few bytes as hold them."""
+    return column.astype(next(k for k in ("i1", "i2", "i4", "i8") if not len(column) or np.iinfo(k).min <= column.min() and column.max() <= np.iinfo(k).max))
 
 
 def _unshrunk(data: bytes, n: int, width: int) -> np.ndarray:
+    """Statistics from columns that each begin with the bytes of a number."""
     stats, at = np.empty((n, width), np.int64), 0
     for s in range(width):
         size = int(data[at : at + 1])
@@ -664,12 +660,18 @@ def _finish_small(rows: DataFrame, grower: Grower, weigh: Weigh, trees: dict[int
                     seen, stats = weigh(block, t)
                     if seen is not None:
                         codes = codes[:, seen]
-                    at = routed(router, codes)
-                    order = np.argsort(at, kind="stable")
-                    lo, hi = np.searchsorted(at[order], nodes), np.searchsorted(at[order], nodes, side="right")
-                    made = [(int(n), order[a:b]) for n, a, b in zip(nodes, lo, hi) if b > a]
+                    # Numbers of 16 bits are sorted without comparisons.
+                    slot_of = np.full(len(router), len(nodes), np.int16 if len(nodes) < 1 << 15 else np.int64)
+                    slot_of[nodes] = np.arange(len(nodes))
+                    slots = slot_of[routed(router, codes)]
+                    ends = np.bincount(slots, minlength=len(nodes) + 1)[:-1].cumsum()
+                    order = np.argsort(slots, kind="stable")[: ends[-1]]
+                    own, columns = codes[:, order], [_smallest(stats[order, s]) for s in range(width)]
+                    heads = [str(c.itemsize).encode() for c in columns]
+                    made = [(int(n), int(a), int(b)) for n, a, b in zip(nodes, np.r_[0, ends], ends) if b > a]
                     if made:
-                        fields = [[t] * len(made), [n for n, _ in made], [codes[:, x].tobytes() for _, x in made], [_shrunk(stats[x]) for _, x in made]]
+                        packed = [b"".join(x for h, c in zip(heads, columns) for x in (h, c[a:b].tobytes())) for _, a, b in made]
+                        fields = [[t] * len(made), [n for n, _, _ in made], [own[:, a:b].tobytes() for _, a, b in made], packed]
                         kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
                         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(fields, kinds)], names=["tree", "node", "codes", "stats"])
 
